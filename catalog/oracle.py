@@ -721,9 +721,9 @@ def oracle() -> dict[str, str]:
             f"scores AS ({ONE})",
         ),
         "facet_multi": over_hits(
-            """SELECT field, value, count(*) AS count FROM (
+            """SELECT * FROM (SELECT field, value, count(*) AS count FROM (
                  SELECT 'movie_title' AS field, movie_title AS value FROM hits UNION ALL SELECT 'year', CAST(year AS VARCHAR) FROM hits)
-               GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY field ORDER BY count(*) DESC, value) <= 10"""
+               GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY field ORDER BY count DESC, value) <= 10"""
         ),
         "tfidf_terms": query("SELECT review_id, term, round(weight, 6) AS weight FROM tfidf_v", "tfidf"),
         "fused_features": query(

@@ -245,11 +245,7 @@ def stratified_split(spark, d):
 
 def class_report(spark, d):
     report = metrics.class_report(v.predictions(spark, d), "polarity", "predicted")
-    return _rounded(report.withColumn("label", _label_name()), "precision", "recall", "f1_score", "support")
-
-
-def _label_name():
-    return F.coalesce(lb.polarity_label(F.expr("try_cast(label as int)")), F.col("label"))
+    return _rounded(report, "precision", "recall", "f1_score", "support")
 
 
 def _summary(spark, d) -> DataFrame:

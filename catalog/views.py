@@ -43,14 +43,33 @@ WRONG = [
 ]
 
 
+WAVE_BYTES = 128 << 20  # what one task reads in one go
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that is too small to fill one wave.
+
+    A small file is one row group, hence one task, however many cores wait.  A
+    table of more than one wave of splits is left as it is read: at scale no
+    shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * WAVE_BYTES else df
+
+
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents"), "doc_id")
+
+
 def reviews(spark: SparkSession, d: str) -> DataFrame:
     """The review columns plus ``doc_id``, which other views count with."""
     joined = (
-        table(spark, d, "documents")
+        documents(spark, d)
         .select("doc_id", "text")
         .join(table(spark, d, "orders"), F.col("doc_id") == F.col("o_orderkey"))
         .join(table(spark, d, "part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("o_orderkey") % 40)
@@ -185,7 +204,7 @@ def aliases(spark: SparkSession) -> DataFrame:
 
 def entities(spark: SparkSession, d: str) -> DataFrame:
     """Long words of the whole text as entities, in three label classes."""
-    found = table(spark, d, "documents").select(
+    found = documents(spark, d).select(
         review_id(F.col("doc_id")),
         F.posexplode(F.regexp_extract_all("text", F.lit(r"\p{L}{7,}"), 0)).alias("pos", "word"),
     )

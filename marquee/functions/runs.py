@@ -1,0 +1,23 @@
+"""Runs of equal values in a sorted array."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def run_starts(values: Column, key_at: Callable[[Column], Column]) -> Column:
+    """0-based places at which a new key begins; none for an empty array."""
+    places = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+    return F.filter(places, lambda i: (i == 0) | (key_at(i) != key_at(i - 1)))
+
+
+def run_ends(starts: Column, values: Column) -> Column:
+    """The place after the end of each run."""
+    return F.when(
+        F.size(starts) > 0, F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(values)))
+    ).otherwise(starts)

@@ -9,31 +9,30 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.binding import add_once, let
 from marquee.functions.labels import irony_flag
+from marquee.functions.runs import run_ends, run_starts
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
-def _with_pairs(found: Column) -> Column:
-    """Words, then each word with its right neighbour."""
-    n_pairs = F.greatest(F.size(found) - 1, F.lit(0))
-    left, right = F.slice(found, F.lit(1), n_pairs), F.slice(found, F.lit(2), n_pairs)
-    return F.concat(found, F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b)))
+def grams(text: Column) -> Column:
+    """Words of two or more characters, then each word with its right neighbour."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), 0)
 
+    def with_pairs(w: Column) -> Column:
+        n_pairs = F.greatest(F.size(w) - 1, F.lit(0))
+        left, right = F.slice(w, F.lit(1), n_pairs), F.slice(w, F.lit(2), n_pairs)
+        return F.concat(w, F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b)))
 
-def with_grams(df: DataFrame, text: str, out: str = "grams") -> DataFrame:
-    """Words of two or more characters and pairs of neighbouring words."""
-    # Two steps: the words feed the pairs twice and should be found once.
-    found = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), 0)
-    return df.withColumn("_words", found).withColumn(out, _with_pairs(F.col("_words"))).drop("_words")
+    return let(found, with_pairs)
 
 
-def gram_counts(df: DataFrame, grams: str = "grams", keep: tuple[str, ...] = ()) -> DataFrame:
+def gram_counts(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(keep..., term, tf) per row, counted inside the row without a shuffle."""
-    sorted_ = df.select(*keep, F.sort_array(grams).alias("s")).filter(F.size("s") > 0)
+    sorted_ = add_once(df.select(*keep, F.col(text).alias("_text")), {"s": F.sort_array(grams(F.col("_text")))})
     s = F.col("s")
-    starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (s[i] != s[i - 1]))
-    cut = sorted_.withColumn("b", starts).withColumn("e", F.concat(F.slice("b", 2, F.size("b")), F.array(F.size(s))))
+    cut = sorted_.withColumn("b", run_starts(s, lambda i: s[i])).withColumn("e", run_ends(F.col("b"), s))
     run = lambda r: F.struct(s[r["b"]].alias("term"), (r["e"] - r["b"]).alias("tf"))
     return cut.select(*keep, F.inline(F.transform(F.arrays_zip("b", "e"), run)))
 
@@ -43,8 +42,7 @@ def vocabulary(df: DataFrame, text: str, max_features: int = 5000, min_df: int =
 
     Ties of the total count go in term order.
     """
-    per_row = gram_counts(with_grams(df.select(text), text))
-    totals = per_row.groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
+    totals = gram_counts(df, text).groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
     return totals.filter(F.col("df") >= min_df).orderBy(F.col("count").desc(), "term").limit(max_features)
 
 
@@ -56,13 +54,12 @@ class Vectorizer:
     idf: list[float]
 
     def transform(self, df: DataFrame, text: str, out: str = "features") -> DataFrame:
-        grams = with_grams(df, text, "_grams")
         if not self.terms:
             raise ValueError("the vocabulary is empty: no term occurs in enough rows")
         counted = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_grams", outputCol="_tf")
         weighed = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_w")
         unit = Normalizer(p=2.0, inputCol="_w", outputCol=out)
-        return unit.transform(weighed.transform(counted.transform(grams))).drop("_grams", "_tf", "_w")
+        return unit.transform(weighed.transform(counted.transform(df.withColumn("_grams", grams(F.col(text)))))).drop("_grams", "_tf", "_w")
 
 
 def fit_vectorizer(df: DataFrame, text: str, max_features: int = 5000, min_df: int = 2) -> Vectorizer:

@@ -47,9 +47,12 @@ def _per_label(df: DataFrame, truth: str, predicted: str, keys: Sequence[str]) -
         F.sum("_true").alias("_true"), F.sum("_pred").alias("_pred"), F.sum("_hit").alias("_hit")
     )
     hit, true, pred = F.col("_hit"), F.col("_true"), F.col("_pred")
+    # Numbers 0 and 1 are shown as polarities, any other label as it is.
+    text = F.col("label").cast("string")
+    name = F.when(text == "1", lb.POSITIVE).when(text == "0", lb.NEGATIVE).otherwise(text)
     return sums.select(
         *keys,
-        "label",
+        name.alias("label"),
         _ratio(hit, pred).alias("precision"),
         _ratio(hit, true).alias("recall"),
         _ratio(2.0 * hit, true + pred).alias("f1_score"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.analysis import PLAIN, Analyzer
+from marquee.functions.runs import run_ends, run_starts
 
 # Index field -> document column.  The analysed title sits beside the raw one.
 FIELDS = {"summary": "summary", "content": "content", "movie_title_t": "movie_title"}
@@ -30,21 +31,14 @@ def build_postings(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(name).alias("field"), analyzer.slots(F.col(column)).alias("slots"))
+                    F.struct(F.lit(name).alias("field"), _placed(analyzer.slots(F.col(column))).alias("s"))
                     for name, column in fields.items()
                 ]
             )
         ),
     )
-    placed = F.transform("slots", lambda term, pos: F.struct(term.alias("term"), pos.alias("pos")))
-    ordered = long.select(
-        "id", "field", F.sort_array(F.filter(placed, lambda x: x["term"].isNotNull())).alias("s")
-    ).filter(F.size("s") > 0)
     s = F.col("s")
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (s[i]["term"] != s[i - 1]["term"])
-    )
-    cut = ordered.withColumn("b", starts).withColumn("e", F.concat(F.slice("b", 2, F.size("b")), F.array(F.size(s))))
+    cut = long.withColumn("b", run_starts(s, lambda i: s[i]["term"])).withColumn("e", run_ends(F.col("b"), s))
 
     def posting(run: Column) -> Column:
         length = run["e"] - run["b"]
@@ -59,6 +53,12 @@ def build_postings(
     ).select("field", "term", "id", "tf", "positions", "field_len")
 
 
+def _placed(slots: Column) -> Column:
+    """(term, pos) of every index term, sorted."""
+    placed = F.transform(slots, lambda term, pos: F.struct(term.alias("term"), pos.alias("pos")))
+    return F.sort_array(F.filter(placed, lambda x: x["term"].isNotNull()))
+
+
 def slot_count(slots: Column, analyzer: Analyzer) -> Column:
     """Index terms in an analysed text (gaps do not count)."""
     return F.size(slots) if analyzer.gapless else F.size(F.filter(slots, lambda w: w.isNotNull()))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.ordering import draw_key
 from marquee.operators.groups import smallest_in_group, top_per_group
+from marquee.session import materialise
 
 LABEL_COLUMNS = [
     "review_id", "movie_id", "movie_title", "author_rating", "submission_date", "summary", "content",
@@ -32,8 +33,12 @@ def label_sample(
     left to do.  Expects the result of ``valid_ratings``.
     """
     per_rating = total // len(ratings)
-    narrow = df.filter(F.col("author_rating").isin(list(ratings))).select(
-        "review_id", "movie_title", "author_rating", draw_key(seed, F.col("review_id")).alias("_draw")
+    # Read by every step below, so its (narrow) rows are written once.
+    narrow = materialise(
+        df.filter(F.col("author_rating").isin(list(ratings))).select(
+            "review_id", "movie_title", "author_rating", draw_key(seed, F.col("review_id")).alias("_draw")
+        ),
+        "label-candidates",
     )
     order = [F.col("_draw"), F.col("review_id")]
 

@@ -14,6 +14,7 @@ corpus: filters choose documents, they do not change scores.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.analysis import PLAIN, Analyzer
+from marquee.functions.binding import add_once, let
 from marquee.operators.groups import top_per_group
 from marquee.operators.postings import FIELDS, SearchIndex, slot_count
 
@@ -137,14 +139,24 @@ def _bm25(idf: Column, freq: Column, length: Column, mean_length: Column) -> Col
 # --- over the documents -----------------------------------------------------
 
 
-def _frequency(slots: Column, clause: _Clause) -> Column:
+def _contains(term: str) -> Callable[[Column], Column]:
+    return lambda slots: F.coalesce(F.array_contains(slots, term), F.lit(False))
+
+
+def _frequency_of(clause: _Clause) -> Callable[[Column], Column]:
     """How often the clause occurs in an analysed text."""
-    if len(clause.terms) == 1:
+
+    def single(slots: Column) -> Column:
         return F.size(F.filter(slots, lambda w: w == clause.terms[0]))
-    last = F.size(slots) - 1 - clause.places[-1]
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    fits = lambda i: _both([slots[i + p] == t for t, p in zip(clause.terms, clause.places)])
-    return F.size(F.filter(starts, fits))
+
+    def phrase(slots: Column) -> Column:
+        last = F.size(slots) - 1 - clause.places[-1]
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.size(
+            F.filter(starts, lambda i: _both([slots[i + p] == t for t, p in zip(clause.terms, clause.places)]))
+        )
+
+    return single if len(clause.terms) == 1 else phrase
 
 
 def _may_match(query: _Query, analyzer: Analyzer) -> Column:
@@ -158,22 +170,36 @@ def _may_match(query: _Query, analyzer: Analyzer) -> Column:
     return reduce(lambda a, b: a | b, by_field)
 
 
+def _measured(docs: DataFrame, analyzer: Analyzer, measures: dict[str, dict]) -> DataFrame:
+    """Adds columns worked out from analysed fields; each field is analysed once.
+
+    ``measures`` maps a field to ``{column: function of its slots}``.
+    """
+
+    def measured(named: dict) -> Callable[[Column], Column]:
+        return lambda slots: F.struct(*[make(slots).alias(c) for c, make in named.items()])
+
+    per_field = {
+        f"_m_{f}": let(analyzer.slots(F.col(FIELDS[f])), measured(named)) for f, named in measures.items()
+    }
+    flat = {c: F.col(f"_m_{f}")[c] for f, named in measures.items() for c in named}
+    return add_once(docs, per_field).withColumns(flat).drop(*per_field)
+
+
 def _analysed(docs: DataFrame, query: _Query, analyzer: Analyzer) -> DataFrame:
     """Adds ``_f<i>`` (frequency of clause i) and ``_l_<field>`` (its length)."""
-    slots = {f"_s_{f}": analyzer.slots(F.col(FIELDS[f])) for f in query.fields}
-    lengths = {f"_l_{f}": slot_count(F.col(f"_s_{f}"), analyzer) for f in query.fields}
-    freqs = {f"_f{i}": _frequency(F.col(f"_s_{c.field}"), c) for i, c in enumerate(query.clauses)}
-    return docs.withColumns(slots).withColumns({**lengths, **freqs}).drop(*slots)
+    measures: dict[str, dict] = {f: {f"_l_{f}": lambda s: slot_count(s, analyzer)} for f in query.fields}
+    for i, clause in enumerate(query.clauses):
+        measures[clause.field][f"_f{i}"] = _frequency_of(clause)
+    return _measured(docs, analyzer, measures)
 
 
 def _corpus_stats(docs: DataFrame, query: _Query, analyzer: Analyzer) -> Column:
     """N and mean length per field, df per (field, term), as one scalar struct."""
-    slots = {f"_s_{f}": analyzer.slots(F.col(FIELDS[f])) for f in query.fields}
-    lengths = {f"_l_{f}": slot_count(F.col(f"_s_{f}"), analyzer) for f in query.fields}
-    present = {
-        f"_p{i}": F.array_contains(F.col(f"_s_{f}"), t) for i, (f, t) in enumerate(query.pairs)
-    }
-    rows = docs.select(*[FIELDS[f] for f in query.fields]).withColumns(slots).withColumns({**lengths, **present})
+    measures: dict[str, dict] = {f: {f"_l_{f}": lambda s: slot_count(s, analyzer)} for f in query.fields}
+    for i, (f, term) in enumerate(query.pairs):
+        measures[f][f"_p{i}"] = _contains(term)
+    rows = _measured(docs.select(*[FIELDS[f] for f in query.fields]), analyzer, measures)
     sums = rows.agg(
         *[F.count_if(F.col(f"_l_{f}") > 0).alias(f"n_{f}") for f in query.fields],
         *[F.sum(f"_l_{f}").alias(f"len_{f}") for f in query.fields],
@@ -220,7 +246,9 @@ def scored(docs: DataFrame, request: SearchRequest, analyzer: Analyzer = PLAIN)
     found = docs.filter(_filters(request, analyzer) & _may_match(query, analyzer))
     hits = _analysed(found, query, analyzer).filter(_any_hit(query))
     stats = _corpus_stats(docs, query, analyzer)
-    return _boosted(hits.withColumn("score", _score(query, stats)), request).select(*docs.columns, "score")
+    # As a column: one subquery, however often the score refers to it.
+    measured = hits.withColumn("_stats", stats).withColumn("score", _score(query, F.col("_stats")))
+    return _boosted(measured, request).select(*docs.columns, "score")
 
 
 def _boosted(hits: DataFrame, request: SearchRequest) -> DataFrame:
@@ -299,10 +327,10 @@ def _index_scores(index: SearchIndex, query: _Query) -> DataFrame:
         F.max("mean").alias("mean"),
     )
     # Starts of the phrase: places that fit every word, moved back by its offset.
-    moved = [
-        F.transform(f"_p{words.index(t)}", lambda pos, place=p: pos - place)
-        for t, p in zip(clause.terms, clause.places)
-    ]
+    def moved_back(word: str, place: int) -> Column:
+        return F.transform(f"_p{words.index(word)}", lambda pos: pos - place)
+
+    moved = [moved_back(t, p) for t, p in zip(clause.terms, clause.places)]
     idf = reduce(lambda a, b: a + b, [F.col(f"_i{words.index(t)}") for t in clause.terms])
     freq = F.size(reduce(F.array_intersect, moved))
     hit = gathered.withColumn("_freq", freq).filter(F.col("_freq") > 0)

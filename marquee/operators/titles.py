@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import text as tx
+from marquee.functions.binding import add_once, let
 
 # Up to this many title keys go into the plan as a literal array.
 LITERAL_LIMIT = 500
@@ -70,11 +71,10 @@ def find_titles(
     """
     titles = _literal_titles(keys)
     if titles is not None:
-        plain = df.withColumn("_plain", tx.plain_letters(F.col(text)))
-        found = F.array_sort(titles_in(F.col("_plain"), titles, whole_words))
-        return plain.withColumn(out, found).drop("_plain")
+        found = let(tx.plain_letters(F.col(text)), lambda plain: F.sort_array(titles_in(plain, titles, whole_words)))
+        return df.withColumn(out, found)
     units = df.select(F.col(doc_id).alias("_unit"), tx.plain_letters(F.col(text)).alias("_plain"))
-    hits = _find_by_grams(units, keys, whole_words).groupBy("_unit").agg(F.array_sort(F.collect_set("title")).alias(out))
+    hits = _find_by_grams(units, keys, whole_words).groupBy("_unit").agg(F.sort_array(F.collect_set("title")).alias(out))
     empty = F.array().cast("array<string>")
     return df.join(hits, df[doc_id] == hits["_unit"], "left").select(
         *[df[c] for c in df.columns], F.coalesce(hits[out], empty).alias(out)
@@ -127,6 +127,10 @@ def _find_by_grams(units: DataFrame, keys: DataFrame, whole_words: bool) -> Data
     return checked.select("_unit", "title").distinct()
 
 
+def _concerns(named: Column, target: Column) -> Column:
+    return (F.size(named) == 0) | F.exists(named, lambda n: tx.plain_letters(n) == target)
+
+
 def filter_sentences(
     df: DataFrame,
     keys: DataFrame,
@@ -143,7 +147,7 @@ def filter_sentences(
     sentence that contains the value names it.
     """
     target = "_target"
-    with_target = df.withColumn(target, tx.plain_letters(F.col(title)))
+    with_target = add_once(df, {target: tx.plain_letters(F.col(title))})
     if works is not None:
         named = works.groupBy(doc_id).agg(F.collect_set("value").alias("_works"))
         with_target = with_target.join(named, doc_id, "left")
@@ -156,12 +160,14 @@ def filter_sentences(
     titles = _literal_titles(keys)
     if titles is not None:
 
-        def keep(sentence: Column) -> Column:
-            named = F.array_union(titles_in(tx.plain_letters(sentence), titles, whole_words), works_in(sentence))
-            return (F.size(named) == 0) | F.exists(named, lambda n: tx.plain_letters(n) == F.col(target))
+        def judged_sentence(sentence: Column) -> Column:
+            by_rule = let(tx.plain_letters(sentence), lambda plain: titles_in(plain, titles, whole_words))
+            return F.struct(sentence.alias("raw"), F.array_union(by_rule, works_in(sentence)).alias("named"))
 
-        kept = F.array_join(F.filter(tx.sentences(F.col(text)), keep), " ")
-        return with_target.withColumn(out, kept).drop(target, "_works")
+        judged = F.transform(tx.sentences(F.col(text)), judged_sentence)
+        kept = F.filter(judged, lambda x: _concerns(x["named"], F.col(target)))
+        joined = F.array_join(F.transform(kept, lambda x: x["raw"]), " ")
+        return with_target.withColumn(out, joined).drop(target, "_works")
 
     # Many titles: sentences become rows, meet titles by grams, and go back.
     rows = with_target.select(
@@ -173,9 +179,8 @@ def filter_sentences(
         "_named",
         F.array_union(F.coalesce("_named", F.array().cast("array<string>")), works_in(F.col("_sentence"))),
     )
-    keep_row = (F.size("_named") == 0) | F.exists("_named", lambda n: tx.plain_letters(n) == F.col(target))
     regrouped = (
-        judged.filter(keep_row)
+        judged.filter(_concerns(F.col("_named"), F.col(target)))
         .groupBy(doc_id)
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_sentence"))).alias("_kept"))
         .select(doc_id, F.array_join(F.col("_kept._sentence"), " ").alias("_text"))

@@ -26,7 +26,7 @@ def session(cores: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark
 
 
@@ -96,7 +96,7 @@ def main(argv):
             else:
                 n, problems = len(queries[name](spark, sf_dir).collect()), []
         except Exception as error:  # noqa: BLE001
-            n, problems = -1, [f"{type(error).__name__}: {str(error)[:1200]}"]
+            n, problems = -1, [f"{type(error).__name__}: {str(error)[:600]}"]
         mark = "ok  " if not problems else "FAIL"
         kind = "sql" if name in oracle else "rows"
         print(f"{mark} {name:28s} {kind:4s} rows={n:<8d} {time.time() - begin:6.2f}s", *problems, flush=True)
