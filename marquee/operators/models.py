@@ -31,6 +31,11 @@ LOGISTIC, SVM, UNIFORM = "logistic_regression", "linear_svm", "uniform_baseline"
 MODELS = (LOGISTIC, SVM, UNIFORM)
 
 
+# An optimiser step is one job over all partitions: a few thousand rows per
+# task keep small training sets from paying for empty tasks.
+ROWS_PER_TASK = 5_000
+
+
 def with_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> tuple[DataFrame, int]:
     """Adds ``n / (classes * n_class)`` and returns the row count too."""
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -40,7 +45,7 @@ def with_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> tup
         list(counts)[1:],
         F.when(F.col(label) == next(iter(counts)), total / (len(counts) * next(iter(counts.values())))),
     )
-    return df.withColumn(out, weight), total
+    return df.coalesce(max(1, total // ROWS_PER_TASK)).withColumn(out, weight), total
 
 
 @dataclass(frozen=True)
@@ -72,10 +77,10 @@ def uniform_label(doc_id: Column, seed: int) -> Column:
 
 
 def fit_logistic(train: DataFrame, label: str = "polarity", features: str = "features") -> Fitted:
-    """Balanced, L2-regularised; the strength equals a summed loss with C = 1."""
+    """Balanced, L2-regularised; strength and tolerance as in a summed loss with C = 1."""
     weighted, n = with_balanced_weights(train, label)
     fit = LogisticRegression(
-        featuresCol=features, labelCol=label, weightCol="weight", maxIter=200, regParam=1.0 / n, standardization=False
+        featuresCol=features, labelCol=label, weightCol="weight", maxIter=200, tol=1e-4, regParam=1.0 / n, standardization=False
     ).fit(weighted)
     return Fitted(LOGISTIC, fit)
 
@@ -83,7 +88,7 @@ def fit_logistic(train: DataFrame, label: str = "polarity", features: str = "fea
 def _fit_margin(train: DataFrame, label: str, features: str) -> LinearSVCModel:
     weighted, n = with_balanced_weights(train, label)
     return LinearSVC(
-        featuresCol=features, labelCol=label, weightCol="weight", maxIter=100, regParam=1.0 / n, standardization=False
+        featuresCol=features, labelCol=label, weightCol="weight", maxIter=100, tol=1e-3, regParam=1.0 / n, standardization=False
     ).fit(weighted)
 
 
@@ -116,7 +121,7 @@ def fit_svm(
     )
     sigmoid = LogisticRegression(
         featuresCol="m", labelCol="target", weightCol="w", maxIter=100, regParam=0.0, standardization=False
-    ).fit(VectorAssembler(inputCols=["margin"], outputCol="m").transform(doubled))
+    ).fit(VectorAssembler(inputCols=["margin"], outputCol="m").transform(doubled.coalesce(max(1, sum(counts.values()) // ROWS_PER_TASK))))
     return Fitted(SVM, model, sigmoid, seed)
 
 

@@ -25,20 +25,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
+    """The folder every executor can reach: the session's checkpoint folder.
 
-    A private folder is only made in local mode, where driver and executors
+    A private folder is only made where none is set and driver and executors
     are one process; on a cluster a missing setting is an error.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="marquee-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +48,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     size statistics.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/marquee/{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
