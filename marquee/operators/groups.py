@@ -18,6 +18,18 @@ _GROUP_LIMIT = 1000
 _SALTS = 512
 
 
+# Ids up to this many are sent to every executor (some tens of MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when a bounded count shows it has few rows.
+
+    Beyond the bound it stays an ordinary join side, shuffled on its key.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rn"
 ) -> DataFrame:

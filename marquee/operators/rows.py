@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.groups import broadcast_if_small
+
 
 def attach_text(rows: DataFrame, texts: DataFrame, text: str, doc_id: str = "review_id") -> DataFrame:
     """Left join of ``texts``; the job fails when a row finds no text.
@@ -21,12 +23,14 @@ def attach_text(rows: DataFrame, texts: DataFrame, text: str, doc_id: str = "rev
 
 def without(df: DataFrame, seen: DataFrame, keys: Sequence[str] = ("review_id",)) -> DataFrame:
     """Rows whose key does not occur in ``seen``."""
-    return df.join(seen.select(*keys).filter(F.col(keys[0]).isNotNull()), list(keys), "left_anti")
+    known = seen.select(*keys).filter(F.col(keys[0]).isNotNull()).distinct()
+    return df.join(broadcast_if_small(known), list(keys), "left_anti")
 
 
 def overlap_count(df: DataFrame, other: DataFrame, key: str = "review_id") -> DataFrame:
     """One row: how many rows of ``df`` have a key that occurs in ``other``."""
-    return df.join(other.select(key), key, "left_semi").agg(F.count(F.lit(1)).alias("n_common"))
+    known = broadcast_if_small(other.select(key).distinct())
+    return df.join(known, key, "left_semi").agg(F.count(F.lit(1)).alias("n_common"))
 
 
 def attach_sentiment(docs: DataFrame, predictions: DataFrame, model: str) -> DataFrame:

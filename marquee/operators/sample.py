@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.ordering import draw_key
-from marquee.operators.groups import smallest_in_group, top_per_group
+from marquee.operators.groups import BROADCAST_ROWS, smallest_in_group, top_per_group
+from marquee.operators.rows import without
 from marquee.session import materialise
 
 LABEL_COLUMNS = [
@@ -83,10 +84,9 @@ def label_sample(
     )
     inside = first_pass.unionByName(second_pass)
 
-    # At most `total` ids on either side from here on.
     missing = inside.agg((F.lit(total) - F.count(F.lit(1))).alias("_missing")).scalar()
     others = (
-        narrow.join(F.broadcast(inside), "review_id", "left_anti")
+        narrow.join(_few(inside, total), "review_id", "left_anti")
         .orderBy(*order)
         .limit(total)
         .withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
@@ -95,7 +95,12 @@ def label_sample(
     )
     chosen = inside.unionByName(others)
     blanks = [F.lit("").alias(c) for c in ("subjective_label", "polarity_label", "notes")]
-    return df.join(F.broadcast(chosen), "review_id", "left_semi").select(*LABEL_COLUMNS, *blanks)
+    return df.join(_few(chosen, total), "review_id", "left_semi").select(*LABEL_COLUMNS, *blanks)
+
+
+def _few(ids: DataFrame, total: int) -> DataFrame:
+    """A sample's ids: no more than its total, which the caller knows."""
+    return F.broadcast(ids) if total <= BROADCAST_ROWS else ids
 
 
 def equal_rating_sample(
@@ -119,8 +124,8 @@ def equal_rating_sample(
     candidates = (
         df.withColumn("_rating", rating)
         .filter(F.col("_rating").isNotNull())
-        .join(seen.select("review_id").filter("review_id is not null"), "review_id", "left_anti")
     )
+    candidates = without(candidates, seen)
     counts = {r["_rating"]: r["n"] for r in _rating_counts(candidates, low, high)}
     available = sum(counts.values())
     if available < total:

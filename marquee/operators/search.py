@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.analysis import PLAIN, Analyzer
 from marquee.functions.binding import add_once, let
-from marquee.operators.groups import top_per_group
+from marquee.operators.groups import BROADCAST_ROWS, top_per_group
 from marquee.operators.postings import FIELDS, SearchIndex, slot_count
 
 # The usual BM25 parameters.
@@ -348,7 +348,7 @@ def search_index(index: SearchIndex, request: SearchRequest) -> DataFrame:
     if plain:
         # Nothing but the score decides: choose first, fetch k documents then.
         best = scores.orderBy(F.col("score").desc(), "id").limit(request.k)
-        hits = index.docs.join(F.broadcast(best), "id")
+        hits = index.docs.join(F.broadcast(best) if request.k <= BROADCAST_ROWS else best, "id")
     else:
         chosen = index.docs.filter(_filters(request, index.analyzer))
         hits = _boosted(chosen.join(scores, "id"), request)
