@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,11 +60,14 @@ def replace_tokens(
     )
 
 
-def drop_tokens(df: DataFrame, tokens: str, unwanted: DataFrame, key: str, doc_id: str = "review_id") -> DataFrame:
-    """Remove the tokens listed in ``unwanted``; same two ways as above."""
+def drop_tokens(
+    df: DataFrame, tokens: str, unwanted: DataFrame, key: str, also: Sequence[str] = (), doc_id: str = "review_id"
+) -> DataFrame:
+    """Remove the tokens listed in ``unwanted`` and in ``also``; same two ways as above."""
     listed = small_dictionary(unwanted, key, key)
     if listed is not None:
-        return df.withColumn(tokens, tx.drop_each(F.col(tokens), list(listed)))
+        return df.withColumn(tokens, tx.drop_each(F.col(tokens), list(dict.fromkeys([*listed, *also]))))
+    df = df.withColumn(tokens, tx.drop_each(F.col(tokens), list(also)))
     hits = (
         df.select(doc_id, F.explode(F.array_distinct(tokens)).alias("_word"))
         .join(unwanted.select(F.col(key).alias("_word")), "_word", "left_semi")
@@ -105,9 +110,7 @@ def lemmatize_filter(
     swapped = swapped.withColumn(
         out, F.filter(F.transform(out, lambda t: F.lower(t)), lambda t: t.rlike(r"[\p{L}\p{N}]"))
     )
-    spark = df.sparkSession
-    unwanted = stopwords.select("word").union(spark.createDataFrame([(w,) for w in CORPUS_STOP_WORDS], "word string"))
-    return drop_tokens(swapped, out, unwanted.distinct(), "word", doc_id)
+    return drop_tokens(swapped, out, stopwords, "word", CORPUS_STOP_WORDS, doc_id)
 
 
 def clean_words(df: DataFrame, dictionary: DataFrame, text: str, out: str, doc_id: str = "review_id") -> DataFrame:
