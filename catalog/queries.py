@@ -353,7 +353,8 @@ def search_boosted(spark, d):
 
 def _index(spark, d) -> postings.SearchIndex:
     docs = v.docs(spark, d)
-    return postings.SearchIndex(docs, postings.build_postings(docs), postings.field_stats(docs), PLAIN)
+    built = postings.build_postings(docs)
+    return postings.SearchIndex(docs, built, postings.field_stats(built), PLAIN)
 
 
 def search_postings(spark, d):
@@ -368,7 +369,7 @@ def search_postings_phrase(spark, d):
 def build_postings(spark, d):
     built = postings.build_postings(v.docs(spark, d))
     places = F.array_join(F.transform("positions", lambda p: p.cast("string")), " ")
-    return built.withColumn("positions", places)
+    return built.drop("lead").withColumn("positions", places)
 
 
 def term_stats(spark, d):

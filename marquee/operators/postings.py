@@ -20,11 +20,12 @@ def build_postings(
     analyzer: Analyzer = PLAIN,
     doc_id: str = "id",
 ) -> DataFrame:
-    """(field, term, id, tf, positions, field_len), one row per term of a field.
+    """(field, term, id, tf, positions, field_len, lead), one row per term of a field.
 
     A document's words are sorted by (term, position) inside its own row and
     each run of one term becomes a posting, so building needs no shuffle at
-    all.  ``field_len`` rides along to spare the search a join.
+    all.  ``field_len`` rides along to spare the search a join; ``lead`` marks
+    one posting of each document's field, so that documents can be counted.
     """
     long = docs.select(
         F.col(doc_id).alias("id"),
@@ -40,17 +41,18 @@ def build_postings(
     s = F.col("s")
     cut = long.withColumn("b", run_starts(s, lambda i: s[i]["term"])).withColumn("e", run_ends(F.col("b"), s))
 
-    def posting(run: Column) -> Column:
+    def posting(run: Column, number: Column) -> Column:
         length = run["e"] - run["b"]
         return F.struct(
             s[run["b"]]["term"].alias("term"),
             length.alias("tf"),
             F.transform(F.slice(s, run["b"] + 1, length), lambda x: x["pos"]).alias("positions"),
+            (number == 0).alias("lead"),
         )
 
     return cut.select(
         "field", "id", F.size(s).alias("field_len"), F.inline(F.transform(F.arrays_zip("b", "e"), posting))
-    ).select("field", "term", "id", "tf", "positions", "field_len")
+    ).select("field", "term", "id", "tf", "positions", "field_len", "lead")
 
 
 def _placed(slots: Column) -> Column:
@@ -64,23 +66,10 @@ def slot_count(slots: Column, analyzer: Analyzer) -> Column:
     return F.size(slots) if analyzer.gapless else F.size(F.filter(slots, lambda w: w.isNotNull()))
 
 
-def field_stats(docs: DataFrame, fields: dict[str, str] = FIELDS, analyzer: Analyzer = PLAIN) -> DataFrame:
+def field_stats(postings: DataFrame) -> DataFrame:
     """(field, n_docs, total_len) over the documents that have the field at all."""
-    lengths = docs.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("field"),
-                        slot_count(analyzer.slots(F.col(column)), analyzer).alias("field_len"),
-                    )
-                    for name, column in fields.items()
-                ]
-            )
-        )
-    )
     return (
-        lengths.filter("field_len > 0")
+        postings.filter("lead")
         .groupBy("field")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("field_len").alias("total_len"))
     )
@@ -88,27 +77,61 @@ def field_stats(docs: DataFrame, fields: dict[str, str] = FIELDS, analyzer: Anal
 
 @dataclass(frozen=True)
 class SearchIndex:
+    """The tables a search reads; ``buckets`` is None for tables never written."""
+
     docs: DataFrame
     postings: DataFrame
     stats: DataFrame
     analyzer: Analyzer = PLAIN
+    buckets: int | None = None
 
 
-def write_index(docs: DataFrame, path: str, analyzer: Analyzer = PLAIN, mode: str = "errorifexists") -> None:
-    """Write the three tables.
+def bucket_of(buckets: int, *columns: Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
-    Postings are range-partitioned and sorted by (field, term, id): a query
-    reads only the row groups that hold its terms, and a very common term
-    spreads over several files because the id is part of the range.
+
+def write_index(
+    docs: DataFrame,
+    path: str,
+    analyzer: Analyzer = PLAIN,
+    mode: str = "errorifexists",
+    buckets: int = 16,
+    files_per_bucket: int = 4,
+) -> None:
+    """Write postings, documents and field statistics.
+
+    Postings lie in one folder per hash bucket of (field, term), documents in
+    one per hash bucket of the id, and every file is sorted by its key.  A query
+    opens only the folders of its terms, and there only the row groups with
+    them.  Inside a bucket rows are dealt out by id: a very common term is
+    written, and later read, by several tasks.  Raise ``buckets`` with the size
+    of the corpus.
     """
     postings = build_postings(docs, analyzer=analyzer)
-    postings.repartitionByRange("field", "term", "id").sortWithinPartitions("field", "term", "id").write.mode(
-        mode
-    ).parquet(f"{path}/postings")
-    docs.repartitionByRange("id").sortWithinPartitions("id").write.mode(mode).parquet(f"{path}/docs")
-    field_stats(docs, analyzer=analyzer).coalesce(1).write.mode(mode).parquet(f"{path}/stats")
+    deal = F.pmod(F.xxhash64("id"), F.lit(files_per_bucket))
+    (
+        postings.withColumn("bucket", bucket_of(buckets, F.col("field"), F.col("term")))
+        .repartition(buckets * files_per_bucket, "bucket", deal)
+        .sortWithinPartitions("bucket", "field", "term", "id")
+        .write.mode(mode)
+        .partitionBy("bucket")
+        .parquet(f"{path}/postings")
+    )
+    (
+        docs.withColumn("bucket", bucket_of(buckets, F.col("id")))
+        .repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket", "id")
+        .write.mode(mode)
+        .partitionBy("bucket")
+        .parquet(f"{path}/docs")
+    )
+    stats = field_stats(docs.sparkSession.read.parquet(f"{path}/postings")).withColumn("buckets", F.lit(buckets))
+    stats.coalesce(1).write.mode(mode).parquet(f"{path}/stats")
 
 
 def load_index(spark: SparkSession, path: str, analyzer: Analyzer = PLAIN) -> SearchIndex:
     read = spark.read.parquet
-    return SearchIndex(read(f"{path}/docs"), read(f"{path}/postings"), read(f"{path}/stats"), analyzer)
+    stats = read(f"{path}/stats")
+    # One row per field.
+    buckets = max((r["buckets"] for r in stats.select("buckets").collect()), default=None)
+    return SearchIndex(read(f"{path}/docs"), read(f"{path}/postings"), stats.drop("buckets"), analyzer, buckets)

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions.analysis import PLAIN, Analyzer
 from marquee.functions.binding import add_once, let
-from marquee.operators.groups import BROADCAST_ROWS, top_per_group
-from marquee.operators.postings import FIELDS, SearchIndex, slot_count
+from marquee.operators.groups import top_per_group
+from marquee.operators.postings import FIELDS, SearchIndex, bucket_of, slot_count
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -32,6 +32,8 @@ B = 0.75
 
 SORTS = ("score", "helpfulness_score", "author_rating", "submission_date")
 SNIPPET_CHARS = 320
+# Up to this many ids a result is fetched by id from the stored documents.
+FETCH_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -297,6 +299,10 @@ def _index_scores(index: SearchIndex, query: _Query) -> DataFrame:
         ],
     )
     found = index.postings.filter(wanted)
+    if index.buckets is not None:
+        found = found.filter(
+            F.col("bucket").isin([bucket_of(index.buckets, F.lit(f), F.lit(t)) for f, t in query.pairs])
+        )
     stats = (
         found.groupBy("field", "term")
         .agg(F.count(F.lit(1)).alias("df"))
@@ -339,29 +345,51 @@ def _index_scores(index: SearchIndex, query: _Query) -> DataFrame:
 
 
 def search_index(index: SearchIndex, request: SearchRequest) -> DataFrame:
-    """``search`` over a written index."""
+    """``search`` over a written index, in two steps.
+
+    First the best ``k`` ids are chosen from scores and, where filters, boost
+    or sort ask for it, the narrow columns of the documents.  Then the texts of
+    those documents alone are fetched from their buckets.
+    """
     query = _query_of(request, index.analyzer)
+    docs = index.docs.drop("bucket")
     if not query.clauses:
-        return result_rows(_none(index.docs).withColumn("score", F.lit(0.0)))
+        return result_rows(_none(docs).withColumn("score", F.lit(0.0)))
     scores = _index_scores(index, query)
-    plain = replace(request, query="", k=1) == SearchRequest("", request.fields, request.phrase, k=1)
-    if plain:
-        # Nothing but the score decides: choose first, fetch k documents then.
-        best = scores.orderBy(F.col("score").desc(), "id").limit(request.k)
-        hits = index.docs.join(F.broadcast(best) if request.k <= BROADCAST_ROWS else best, "id")
+    by_score_only = replace(request, query="", k=1) == SearchRequest("", request.fields, request.phrase, k=1)
+    if by_score_only:
+        chosen = scores
     else:
-        chosen = index.docs.filter(_filters(request, index.analyzer))
-        hits = _boosted(chosen.join(scores, "id"), request)
-    return result_rows(_top(hits, request))
+        kept = docs.filter(_filters(request, index.analyzer))
+        chosen = _boosted(kept.join(scores, "id"), request).select(*dict.fromkeys(["id", "score", request.sort]))
+    best = _top(chosen, request).select("id", "score")
+    if request.k > FETCH_ROWS:
+        return result_rows(_top(docs.join(best, "id"), request))
+    rows = best.collect()  # at most FETCH_ROWS ids and scores
+    found = _fetch(index, [r["id"] for r in rows])
+    spark = index.docs.sparkSession
+    with_score = found.join(F.broadcast(spark.createDataFrame(rows, best.schema)), "id")
+    return result_rows(_top(with_score, request))
+
+
+def _fetch(index: SearchIndex, ids: list[str]) -> DataFrame:
+    """The documents with these ids, read from their buckets only."""
+    if not ids:
+        return _none(index.docs.drop("bucket"))
+    found = index.docs.filter(F.col("id").isin(ids))
+    if index.buckets is not None:
+        found = found.filter(F.col("bucket").isin([bucket_of(index.buckets, F.lit(i)) for i in ids]))
+    return found.drop("bucket")
 
 
 def matching_index(index: SearchIndex, request: SearchRequest) -> DataFrame:
     """``matching`` over a written index."""
     query = _query_of(request, index.analyzer)
+    docs = index.docs.drop("bucket")
     if not query.clauses:
-        return _none(index.docs)
+        return _none(docs)
     ids = _index_scores(index, query).select("id")
-    return index.docs.filter(_filters(request, index.analyzer)).join(ids, "id", "left_semi")
+    return docs.filter(_filters(request, index.analyzer)).join(ids, "id", "left_semi")
 
 
 # --- comparisons ------------------------------------------------------------

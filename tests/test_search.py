@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,23 +170,33 @@ def test_scan_plan_shuffles_only_numbers(docs, spark, tmp_path):
     assert "GreaterThanOrEqual(author_rating,2.0)" in plan
 
 
-def test_index_plan_prunes_postings(spark, tmp_path):
+def test_index_reads_only_its_buckets(spark, tmp_path):
     index = index_reviews(spark.createDataFrame(ROWS, REVIEW_SCHEMA), str(tmp_path / "i"))
-    plan = se.search_index(index, se.SearchRequest("war", ("content",)))._jdf.queryExecution().executedPlan().toString()
+    scores = se._index_scores(index, se._query_of(se.SearchRequest("war", ("content",)), PLAIN))
+    plan = scores._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(field,content)" in plan and "EqualTo(term,war)" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ = \d+", plan)
     assert "positions" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    plan = se.search_index(index, se.SearchRequest("war", ("content",)))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN ", plan) and "In(id, [" in plan
+
+
+def test_many_results_are_joined_instead_of_fetched(spark, tmp_path, monkeypatch):
+    index = index_reviews(spark.createDataFrame(ROWS, REVIEW_SCHEMA), str(tmp_path / "i"))
+    request = se.SearchRequest("war masterpiece", sort="helpfulness_score")
+    fetched = se.search_index(index, request).collect()
+    monkeypatch.setattr(se, "FETCH_ROWS", 1)
+    assert se.search_index(index, request).collect() == fetched
 
 
 def test_common_term_spreads_over_index_files(spark, tmp_path):
     docs = spark.range(4000).select(
         F.format_string("d%05d", "id").alias("id"), F.lit("").alias("summary"), F.lit("war").alias("content"), F.lit("t").alias("movie_title")
     )
-    # Small partitions are merged at run time; keep them to see the ranges.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        po.write_index(docs, str(tmp_path / "i"))
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    po.write_index(docs, str(tmp_path / "i"), buckets=3, files_per_bucket=4)
     postings = spark.read.parquet(str(tmp_path / "i" / "postings"))
     assert postings.count() == 8000
-    assert postings.filter("term = 'war'").select(F.input_file_name()).distinct().count() > 2
+    assert postings.filter("term = 'war'").select(F.input_file_name()).distinct().count() > 1
+    assert {tuple(r) for r in po.load_index(spark, str(tmp_path / "i")).stats.collect()} == {
+        ("content", 4000, 4000), ("movie_title_t", 4000, 4000),
+    }
