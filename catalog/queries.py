@@ -438,7 +438,7 @@ def fused_features(spark, d):
         vector["indices"]
     )
     long = fused.select("review_id", F.inline(F.arrays_zip(dense.alias("i"), vector["values"].alias("x"))))
-    names = F.array(*[F.lit(t) for t in [*fitted.terms, "irony_label", "irony_score"]])
+    names = features.term_array([*fitted.terms, "irony_label", "irony_score"])
     named = long.toDF("review_id", "i", "x").filter("x <> 0").select(
         "review_id",
         (F.col("i") >= n).alias("extra"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
@@ -14,36 +15,72 @@ from marquee.functions.labels import irony_flag
 from marquee.functions.runs import run_ends, run_starts
 
 WORD = r"[\p{L}\p{N}_]{2,}"
+VOCABULARY_SCHEMA = "term string, count bigint, df bigint"
+# How many words the choice of pairs may look up in the plan.
+FREQUENT_WORDS = 20_000
 
 
-def grams(text: Column) -> Column:
-    """Words of two or more characters, then each word with its right neighbour."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), 0)
+def words(text: Column) -> Column:
+    """Lower-case words of two or more characters."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), 0)
+
+
+def _pairs(w: Column) -> Column:
+    """Each word with its right neighbour; a null on either side makes no pair."""
+    n_pairs = F.greatest(F.size(w) - 1, F.lit(0))
+    left, right = F.slice(w, F.lit(1), n_pairs), F.slice(w, F.lit(2), n_pairs)
+    return F.filter(F.zip_with(left, right, lambda a, b: F.concat(a, F.lit(" "), b)), lambda p: p.isNotNull())
 
-    def with_pairs(w: Column) -> Column:
-        n_pairs = F.greatest(F.size(w) - 1, F.lit(0))
-        left, right = F.slice(w, F.lit(1), n_pairs), F.slice(w, F.lit(2), n_pairs)
-        return F.concat(w, F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b)))
 
-    return let(found, with_pairs)
+def term_array(terms: Sequence[str]) -> Column:
+    """Terms as one array literal: one text, split again, as terms hold no line breaks."""
+    return F.split(F.lit("\n".join(terms)), "\n")
 
 
-def gram_counts(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def grams(text: Column) -> Column:
+    """Words, then pairs of neighbouring words."""
+    return let(words(text), lambda w: F.concat(w, _pairs(w)))
+
+
+def gram_counts(df: DataFrame, terms: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """(keep..., term, tf) per row, counted inside the row without a shuffle."""
-    sorted_ = add_once(df.select(*keep, F.col(text).alias("_text")), {"s": F.sort_array(grams(F.col("_text")))})
+    sorted_ = add_once(df, {"s": F.sort_array(terms)}).select(*keep, "s")
     s = F.col("s")
     cut = sorted_.withColumn("b", run_starts(s, lambda i: s[i])).withColumn("e", run_ends(F.col("b"), s))
     run = lambda r: F.struct(s[r["b"]].alias("term"), (r["e"] - r["b"]).alias("tf"))
     return cut.select(*keep, F.inline(F.transform(F.arrays_zip("b", "e"), run)))
 
 
+def _totals(df: DataFrame, terms: Column, min_df: int) -> DataFrame:
+    per_term = gram_counts(df, terms).groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
+    return per_term.filter(F.col("df") >= min_df)
+
+
 def vocabulary(df: DataFrame, text: str, max_features: int = 5000, min_df: int = 2) -> DataFrame:
     """(term, count, df): the most frequent grams that enough rows hold.
 
-    Ties of the total count go in term order.
+    Ties of the total count go in term order.  A pair is never more frequent
+    than either of its words.  So the words are counted first, and pairs only
+    of words that are frequent enough to have one in the result: of the many
+    distinct pairs of a large corpus few are ever shuffled.  Should too many
+    words qualify, all pairs are counted.
     """
-    totals = gram_counts(df, text).groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
-    return totals.filter(F.col("df") >= min_df).orderBy(F.col("count").desc(), "term").limit(max_features)
+    order = [F.col("count").desc(), F.col("term")]
+    text_only = df.select(text)
+    best = _totals(text_only, words(F.col(text)), min_df).orderBy(*order).limit(FREQUENT_WORDS).collect()
+    least = best[max_features - 1]["count"] if len(best) >= max_features else 0
+    if len(best) == FREQUENT_WORDS and best[-1]["count"] >= least:
+        return _totals(text_only, grams(F.col(text)), min_df).orderBy(*order).limit(max_features)
+    frequent = [r for r in best if r["count"] >= least]
+    if not frequent:
+        return df.sparkSession.createDataFrame([], VOCABULARY_SCHEMA)
+    # Words are letters, digits and underscores: safe inside quotes.
+    listed = ", ".join(f"'{r['term']}'" for r in frequent)
+    marked = add_once(text_only, {"_w": words(F.col(text))}).withColumn(
+        "_w", F.expr(f"transform(_w, x -> if(x IN ({listed}), x, NULL))")
+    )
+    single = df.sparkSession.createDataFrame(frequent, VOCABULARY_SCHEMA)
+    return single.unionByName(_totals(marked, let(F.col("_w"), _pairs), min_df)).orderBy(*order).limit(max_features)
 
 
 @dataclass(frozen=True)
@@ -73,7 +110,7 @@ def fit_vectorizer(df: DataFrame, text: str, max_features: int = 5000, min_df: i
 
 def long_form(df: DataFrame, vectorizer: Vectorizer, features: str = "features", keep: tuple[str, ...] = ("review_id",)) -> DataFrame:
     """(keep..., term, weight) of the non-zero entries of a feature column."""
-    names = F.array(*[F.lit(t) for t in vectorizer.terms])
+    names = term_array(vectorizer.terms)
     vector = F.unwrap_udt(features)
     pairs = df.select(*keep, F.inline(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("w"))))
     pairs = pairs.toDF(*keep, "i", "w")

@@ -25,6 +25,15 @@ def test_vocabulary_counts_words_and_pairs(texts):
     assert [r[0] for r in ft.vocabulary(texts, "text", max_features=2, min_df=1).collect()] == ["good", "bad"]
 
 
+@pytest.mark.parametrize("max_features, min_df", [(1, 1), (3, 1), (5, 1), (4, 2), (100, 2), (100, 1)])
+def test_counting_pairs_of_frequent_words_loses_none(spark, monkeypatch, max_features, min_df):
+    rows = [(" ".join(f"w{(i * k) % 7} v{(i + k) % 5}" for k in range(1, 9)),) for i in range(40)]
+    df = spark.createDataFrame(rows, "text string")
+    pruned = ft.vocabulary(df, "text", max_features, min_df).collect()
+    monkeypatch.setattr(ft, "FREQUENT_WORDS", 1)
+    assert pruned == ft.vocabulary(df, "text", max_features, min_df).collect()
+
+
 def test_tfidf_by_hand(texts):
     rows = {(r.review_id, r.term): r.weight for r in ft.tfidf_terms(texts, "text").collect()}
     idf = math.log(5 / 3) + 1
