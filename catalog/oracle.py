@@ -358,11 +358,11 @@ def over_hits(select: str) -> str:
 
 
 REVIEW_SQL = top(
-    term_scores(["ring", "of", "pathetic"], COLUMN),
+    term_scores(["plate", "of", "pathetic"], COLUMN),
     """author_rating >= 3 AND submission_date >= TIMESTAMP '1996-01-01 00:00:00'
        AND submission_date <= TIMESTAMP '2000-12-31 23:59:59'
-       AND list_contains(regexp_extract_all(lower(movie_title), '[\\p{L}\\p{N}]+'), 'ring')
-       AND list_contains(regexp_extract_all(lower(movie_title), '[\\p{L}\\p{N}]+'), 'small')""",
+       AND list_contains(regexp_extract_all(lower(movie_title), '[\\p{L}\\p{N}]+'), 'plate')
+       AND list_contains(regexp_extract_all(lower(movie_title), '[\\p{L}\\p{N}]+'), 'red')""",
     columns="""id, movie_title, summary, substr(content, 1, 320) AS snippet, author, author_rating, upvotes, downvotes,
        round(helpfulness_score, 6) AS helpfulness_score, strftime(submission_date, '%Y-%m-%d') AS date""",
 )
@@ -685,7 +685,7 @@ def oracle() -> dict[str, str]:
         "search_phrase": PHRASE_SQL,
         "search_filtered": top(
             term_scores(["thing", "of"]),
-            """movie_title = 'small ring' AND author_rating BETWEEN 1 AND 4
+            """movie_title = 'red plate' AND author_rating BETWEEN 1 AND 4
                AND submission_date BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2000-12-31'""",
         ),
         "search_reviews": REVIEW_SQL,
@@ -698,8 +698,8 @@ def oracle() -> dict[str, str]:
         "postings": query("SELECT field, term, id, CAST(tf AS INTEGER) AS tf, positions, CAST(field_len AS INTEGER) AS field_len FROM postings_v", "postings"),
         "term_stats": query("SELECT field, term, count(DISTINCT id) AS df, count(*) AS total FROM places_v GROUP BY ALL", "places"),
         "title_exact_vs_terms": query(
-            """SELECT 'exact_title' AS label, count(*) FILTER (movie_title = 'small ring') AS num_found FROM docs_v UNION ALL
-               SELECT 'analysed_title', count(*) FROM docs_v WHERE regexp_matches(lower(movie_title), '\\b(small|ring)\\b')""",
+            """SELECT 'exact_title' AS label, count(*) FILTER (movie_title = 'red plate') AS num_found FROM docs_v UNION ALL
+               SELECT 'analysed_title', count(*) FROM docs_v WHERE regexp_matches(lower(movie_title), '\\b(red|plate)\\b')""",
             "docs",
         ),
         "helpfulness_compare": over_hits(_rankings()),

@@ -23,7 +23,7 @@ from marquee.sources import flatten_review_pages, page_status, upsert_reviews
 Query = Callable[[SparkSession, str], DataFrame]
 
 # What the search queries ask for.
-TERM, TERMS, PHRASE, WORD_IN_TITLE = "worthless", "pathetic worthless thing", "of the", "small ring"
+TERM, TERMS, PHRASE, WORD_IN_TITLE = "worthless", "pathetic worthless thing", "of the", "red plate"
 CONTENT = ("content",)
 HIT = ["id", "movie_title", "helpfulness_score", "score"]
 WINDOWS = {
@@ -317,7 +317,7 @@ def search_filtered(spark, d):
     request = se.SearchRequest(
         "thing of",
         CONTENT,
-        title="small ring",
+        title="red plate",
         min_rating=1,
         max_rating=4,
         start="1995-01-01 00:00:00",
@@ -327,7 +327,7 @@ def search_filtered(spark, d):
 
 
 REVIEW_REQUEST = se.SearchRequest(
-    "ring of pathetic", movie="ring small", min_rating=3, start_year=1996, end_year=2000, k=10
+    "plate of pathetic", movie="plate red", min_rating=3, start_year=1996, end_year=2000, k=10
 )
 
 

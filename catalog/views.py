@@ -31,7 +31,7 @@ STOP_WORDS = [
     "the", "and", "of", "to", "in", "is", "it", "on", "as", "la", "le", "de", "des", "et", "que", "un", "une",
     "en", "el", "los", "der", "die", "das", "und", "one", "very", "for", "not",
 ]
-ALIASES = [("tiny ring", "small ring"), ("bolt in blue", "blue bolt")]
+ALIASES = [("tiny plate", "red plate"), ("anvil of size", "large anvil")]
 TIMES = [
     ("preprocessed_text", "model_a", 0.5), ("preprocessed_text", "model_b", 0.0),
     ("augmented_text", "model_a", 0.25), ("augmented_text", "model_b", 2.0),

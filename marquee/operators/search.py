@@ -215,7 +215,7 @@ def _score(query: _Query, stats: Column) -> Column:
     parts = []
     for i, c in enumerate(query.clauses):
         n = stats[f"n_{c.field}"]
-        mean = stats[f"len_{c.field}"] / n
+        mean = F.try_divide(stats[f"len_{c.field}"], n)  # no document may have the field
         idf = reduce(lambda a, b: a + b, [_idf(n, df_of[(c.field, t)]) for t in c.terms])
         freq = F.col(f"_f{i}")
         part = _bm25(idf * c.weight, freq, F.col(f"_l_{c.field}"), mean)

@@ -108,6 +108,13 @@ def test_english_finds_word_forms_and_keeps_gaps(docs):
     assert found("the") == []
 
 
+def test_empty_corpus_and_empty_field(docs):
+    assert se.search(docs.limit(0), se.SearchRequest("war")).collect() == []
+    no_summary = docs.withColumn("summary", F.lit(""))
+    rows = se.search(no_summary, se.SearchRequest("war", ("summary", "content"))).collect()
+    assert {r.id for r in rows} == {"r1", "r2", "r3"}
+
+
 def test_result_row_shape(docs):
     row = se.search(docs, se.SearchRequest("masterpieces")).first()
     assert (row.date, row.summary, row.author_rating, row.upvotes) == ("", "", 4.0, 0)
