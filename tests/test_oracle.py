@@ -28,4 +28,4 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_entry_gives_rows(spark):
-    assert entry.entry(spark).count() == 10
+    assert 0 < entry.entry(spark).count() <= 10
