@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import byte_bpe
+from marquee.llm import byte_bpe, packing, pii, token_counts, url_rules
 from marquee.llm.texts import table
 
 
@@ -16,8 +16,53 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), path)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_token_counts": op5_token_counts,
+    "op7_url_filter": op7_url_filter,
+    "op8_personal_data": op8_personal_data,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_url_filter": """
+        WITH u AS (
+            SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), h AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM u
+        ), r(rule_host, rule_path, action) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), fit AS (
+            SELECT page_id, rule_host || rule_path AS rule, action,
+                   row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS place
+            FROM h JOIN r ON (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        )
+        SELECT h.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+        FROM h LEFT JOIN fit ON h.page_id = fit.page_id AND place = 1
+    """,
+}
