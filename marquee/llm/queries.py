@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.llm import byte_bpe, packing, pii, token_counts, url_rules
+from marquee.llm import byte_bpe, cap_dedup, cover_topk, packing, pii, token_counts, url_rules
 from marquee.llm.texts import table
 
 
@@ -16,6 +17,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), path)
@@ -38,15 +43,49 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_counts": op5_token_counts,
     "op7_url_filter": op7_url_filter,
     "op8_personal_data": op8_personal_data,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
+_FINITE = "list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
+
 ORACLE: dict[str, str] = {
+    "op2_exact_top_k": f"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND {_FINITE}
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+        )
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+    """,
+    "op10_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND {_FINITE} AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+        ), link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+        ), component AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+        degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, root AS component_id, e.vec_id = root AS kept
+        FROM embeddings e JOIN component c ON c.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+    """,
     "op7_url_filter": """
         WITH u AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
