@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import byte_bpe, cap_dedup, cover_topk, packing, pii, token_counts, url_rules
+from marquee.llm import byte_bpe, cap_dedup, cover_topk, jaccard_join, packing, pii, token_counts, url_rules
 from marquee.llm.texts import table
 
 
@@ -31,6 +31,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_top_k": op2_exact_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_counts": op5_token_counts,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_url_filter": op7_url_filter,
     "op8_personal_data": op8_personal_data,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
