@@ -1,8 +1,57 @@
-"""Prepares a training corpus: a fixed row of operators over ``documents``."""
+"""Prepares a training corpus from ``documents``: a row of operators, each on what its predecessor kept.
 
-STAGES: list = []
-ORACLE_SQL = None
+toxicity       documents that the network rejects go
+ngram_dedup    one document of each group of near-duplicates stays (five words, similarity 0.8)
+personal_data  spans become their kind in angle brackets
+packing        what is left, as token pieces with their place in a sequence
 
+Every stage keeps rows whose doc_id or text is null; a row that is repeated as a
+whole stays once.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marquee.llm import jaccard_join, packing, pii, toxicity
+from marquee.llm.texts import table
+from marquee.session import materialise
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    net = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
+    return toxicity.filter_toxic(docs, net)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each component stays."""
+    found = jaccard_join.jaccard_components(docs, size=5, num=80, den=100)
+    roots = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(roots, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_dedup", drop_near_duplicates),
+    ("personal_data", redact_personal_data),
+    ("packing", pack),
+]
+ORACLE_SQL = None  # a trained network and a tokenizer are no SQL
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

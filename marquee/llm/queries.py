@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import byte_bpe, cap_dedup, cover_topk, jaccard_join, packing, pii, token_counts, url_rules
+from marquee.llm import byte_bpe, cap_dedup, cover_topk, html_extract, jaccard_join, packing, pii, token_counts, toxicity, url_rules
 from marquee.llm.texts import table
 
 
@@ -27,6 +27,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -47,6 +52,17 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
+    return toxicity.score(docs, net).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -55,10 +71,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_top_k": op2_exact_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_html_extraction": op4_html_extraction,
     "op5_token_counts": op5_token_counts,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_url_filter": op7_url_filter,
     "op8_personal_data": op8_personal_data,
+    "op9_toxicity": op9_toxicity,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
