@@ -72,7 +72,10 @@ def reviews(spark: SparkSession, d: str) -> DataFrame:
         documents(spark, d)
         .select("doc_id", "text")
         .join(table(spark, d, "orders"), F.col("doc_id") == F.col("o_orderkey"))
-        .join(table(spark, d, "part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("o_orderkey") % 40)
+        .join(
+            table(spark, d, "part").filter("p_partkey < 40").select("p_partkey", "p_name"),  # the 40 movies
+            F.col("p_partkey") == F.col("o_orderkey") % 40,
+        )
     )
     price = F.col("o_totalprice")
     return joined.select(

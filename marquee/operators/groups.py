@@ -14,27 +14,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_GROUP_LIMIT = 1000
+from marquee.session import materialise
+
 _SALTS = 512
 
 
-# Ids up to this many are sent to every executor (some tens of MB).
-BROADCAST_ROWS = 1_000_000
+def stored_keys(df: DataFrame) -> DataFrame:
+    """``df``, a side of distinct keys, as a stored table.
 
+    Spark then knows its true size in bytes and broadcasts it exactly when that
+    is within ``spark.sql.autoBroadcastJoinThreshold``; beyond, it is an ordinary
+    join side.  The keys are worked out once.
+    """
+    return materialise(df, "keys")
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when a bounded count shows it has few rows.
 
-    Beyond the bound it stays an ordinary join side, shuffled on its key.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _group_limit(df: DataFrame) -> int:
+    """Up to how many rows of a group this session limits before the shuffle."""
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rn"
 ) -> DataFrame:
     """The first ``k`` rows of every group, with their 1-based place in ``rank``."""
-    if k > _GROUP_LIMIT:
+    if k > _group_limit(df):
         # Row content decides the salt, so a retried task gives the same rows.
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(_SALTS)))
         first = Window.partitionBy(*keys, "_salt").orderBy(*order)
@@ -98,8 +102,14 @@ def smallest_in_group(
         .filter(F.col("_place") == F.col("_needed"))
         .select(*keys, F.struct(F.col(draw).alias("d"), F.col(tie).alias("t")).alias("_cut"))
     )
-    joined = df.alias("r").join(
-        cut.alias("k"), [F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys], "left"
+    # The cut of a group travels to the rows beside a salt: a group of any size is
+    # spread over tasks, and nothing is sorted or sent by the group alone.
+    spread = F.pmod(F.xxhash64(draw, tie), F.lit(_SALTS)).cast("int")
+    cuts = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    joined = df.withColumn("_salt", spread).alias("r").join(
+        cuts.alias("k"),
+        [F.col("r._salt") == F.col("k._salt"), *[F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys]],
+        "left",
     )
     below = F.struct(F.col(f"r.{draw}").alias("d"), F.col(f"r.{tie}").alias("t")) <= F.col("k._cut")
     return joined.select(*[F.col(f"r.{c}") for c in df.columns], F.coalesce(below, F.lit(False)).alias(flag))

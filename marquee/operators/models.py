@@ -265,13 +265,8 @@ def irony_scores(
     df: DataFrame,
     make_scorer: Callable[[], Callable[[list[str]], list[tuple[str, float]]]],
     text: str,
-    max_chars: int | None = None,
 ) -> DataFrame:
-    """``label`` and ``score`` of a text classifier; blank text gives nulls.
-
-    The scorer gets whole texts unless its model needs a limit, given as
-    ``max_chars``.
-    """
+    """``label`` and ``score`` of a text classifier, which gets whole texts; blank text gives nulls."""
 
     @F.pandas_udf("label string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -280,8 +275,7 @@ def irony_scores(
             out = pd.DataFrame({"label": [None] * len(texts), "score": [None] * len(texts)}, dtype=object)
             filled = [i for i, t in enumerate(texts) if t is not None and t.strip()]
             if filled:
-                given = [texts.iloc[i] if max_chars is None else texts.iloc[i][:max_chars] for i in filled]
-                for i, (label, score) in zip(filled, scorer(given)):
+                for i, (label, score) in zip(filled, scorer([texts.iloc[i] for i in filled])):
                     out.at[i, "label"], out.at[i, "score"] = label, float(score)
             yield out.astype({"score": "float64"})
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.groups import broadcast_if_small
+from marquee.operators.groups import stored_keys
 
 
 def attach_text(rows: DataFrame, texts: DataFrame, text: str, doc_id: str = "review_id") -> DataFrame:
@@ -24,12 +24,12 @@ def attach_text(rows: DataFrame, texts: DataFrame, text: str, doc_id: str = "rev
 def without(df: DataFrame, seen: DataFrame, keys: Sequence[str] = ("review_id",)) -> DataFrame:
     """Rows whose key does not occur in ``seen``."""
     known = seen.select(*keys).filter(F.col(keys[0]).isNotNull()).distinct()
-    return df.join(broadcast_if_small(known), list(keys), "left_anti")
+    return df.join(stored_keys(known), list(keys), "left_anti")
 
 
 def overlap_count(df: DataFrame, other: DataFrame, key: str = "review_id") -> DataFrame:
     """One row: how many rows of ``df`` have a key that occurs in ``other``."""
-    known = broadcast_if_small(other.select(key).distinct())
+    known = stored_keys(other.select(key).distinct())
     return df.join(known, key, "left_semi").agg(F.count(F.lit(1)).alias("n_common"))
 
 

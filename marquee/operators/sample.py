@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.ordering import draw_key
-from marquee.operators.groups import BROADCAST_ROWS, smallest_in_group, top_per_group
+from marquee.operators.groups import smallest_in_group, stored_keys, top_per_group
 from marquee.operators.rows import without
 from marquee.session import materialise
 
@@ -86,7 +86,7 @@ def label_sample(
 
     missing = inside.agg((F.lit(total) - F.count(F.lit(1))).alias("_missing")).scalar()
     others = (
-        narrow.join(_few(inside, total), "review_id", "left_anti")
+        narrow.join(stored_keys(inside), "review_id", "left_anti")
         .orderBy(*order)
         .limit(total)
         .withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
@@ -95,12 +95,7 @@ def label_sample(
     )
     chosen = inside.unionByName(others)
     blanks = [F.lit("").alias(c) for c in ("subjective_label", "polarity_label", "notes")]
-    return df.join(_few(chosen, total), "review_id", "left_semi").select(*LABEL_COLUMNS, *blanks)
-
-
-def _few(ids: DataFrame, total: int) -> DataFrame:
-    """A sample's ids: no more than its total, which the caller knows."""
-    return F.broadcast(ids) if total <= BROADCAST_ROWS else ids
+    return df.join(stored_keys(chosen), "review_id", "left_semi").select(*LABEL_COLUMNS, *blanks)
 
 
 def equal_rating_sample(

@@ -60,10 +60,9 @@ def find_titles(
     keys: DataFrame,
     text: str = "text",
     out: str = "titles",
-    doc_id: str = "review_id",
     whole_words: bool = False,
 ) -> DataFrame:
-    """Add the sorted array of titles named in ``text``.
+    """Add the sorted array of titles named in ``text``; empty for a null text.
 
     The test is a substring test unless ``whole_words`` is set: ``thor`` is
     found in ``author``.  A small title list is checked inside the row; a large
@@ -73,12 +72,13 @@ def find_titles(
     if titles is not None:
         found = let(tx.plain_letters(F.col(text)), lambda plain: F.sort_array(titles_in(plain, titles, whole_words)))
         return df.withColumn(out, found)
-    units = df.select(F.col(doc_id).alias("_unit"), tx.plain_letters(F.col(text)).alias("_plain"))
-    hits = _find_by_grams(units, keys, whole_words).groupBy("_unit").agg(F.sort_array(F.collect_set("title")).alias(out))
+    # Rows are matched by a digest of their text: ids may be missing or repeated, equal texts are searched once.
+    plain = tx.plain_letters(F.col(text))
+    keyed = add_once(df, {"_unit": F.md5(plain)})
+    units = df.select(F.md5(plain).alias("_unit"), plain.alias("_plain")).filter("_plain IS NOT NULL").dropDuplicates(["_unit"])
+    hits = _find_by_grams(units, keys, whole_words).groupBy("_unit").agg(F.sort_array(F.collect_set("title")).alias("_found"))
     empty = F.array().cast("array<string>")
-    return df.join(hits, df[doc_id] == hits["_unit"], "left").select(
-        *[df[c] for c in df.columns], F.coalesce(hits[out], empty).alias(out)
-    )
+    return keyed.join(hits, "_unit", "left").withColumn(out, F.coalesce("_found", empty)).drop("_unit", "_found")
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -91,9 +91,9 @@ def _grams(text: Column, size: int) -> Column:
 def _find_by_grams(units: DataFrame, keys: DataFrame, whole_words: bool) -> DataFrame:
     """(unit, title) pairs by an equi-join, exact for any number of titles.
 
-    Each key is represented by the one of its grams that the fewest keys
-    share; a text that contains the key contains that gram too.  So texts meet
-    keys on the gram, and the pair is then checked in full.
+    Each key is represented by the one of its grams that the fewest texts hold;
+    a text that contains the key contains that gram too.  So texts meet keys on
+    the gram, and the pair is then checked in full.
     """
     sized = keys.withColumn("_size", F.least(F.length("key"), F.lit(_GRAM)))
     sizes = range(1, _GRAM + 1)
@@ -105,24 +105,21 @@ def _find_by_grams(units: DataFrame, keys: DataFrame, whole_words: bool) -> Data
         return picked
 
     key_grams = sized.withColumn("_gram", F.explode(grams_for(F.col("key"), F.col("_size"))))
-    shared = key_grams.groupBy("_size", "_gram").agg(F.count(F.lit(1)).alias("_keys"))
-    anchors = (
-        key_grams.join(shared, ["_size", "_gram"])
-        .groupBy("key", "title", "_size")
-        .agg(F.min(F.struct("_keys", "_gram"))["_gram"].alias("_gram"))
-    )
     present = [r["_size"] for r in sized.select("_size").distinct().collect()]  # at most _GRAM sizes
     text_grams = units.select(
         "_unit",
         "_plain",
         F.explode(F.array(*[F.lit(s) for s in sorted(present)])).alias("_size"),
-    ).select("_unit", "_plain", "_size", F.explode(grams_for(F.col("_plain"), F.col("_size"))).alias("_gram"))
-    # The gram join carries ids only; the text is fetched again for candidates.
-    candidates = (
-        text_grams.select("_unit", "_size", "_gram")
-        .join(anchors, ["_size", "_gram"])
-        .select("_unit", "key", "title")
+    ).select("_unit", "_size", F.explode(grams_for(F.col("_plain"), F.col("_size"))).alias("_gram"))
+    text_grams = text_grams.join(key_grams.select("_size", "_gram").distinct(), ["_size", "_gram"], "left_semi")
+    held = text_grams.groupBy("_size", "_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    anchors = (
+        key_grams.join(held, ["_size", "_gram"], "left")
+        .groupBy("key", "title", "_size")
+        .agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("_texts"), "_gram"))["_gram"].alias("_gram"))
     )
+    # The gram join carries digests only; the text is fetched again for candidates.
+    candidates = text_grams.join(anchors, ["_size", "_gram"]).select("_unit", "key", "title")
     checked = candidates.join(units, "_unit").filter(_names(F.col("_plain"), F.col("key"), whole_words))
     return checked.select("_unit", "title").distinct()
 
@@ -149,7 +146,7 @@ def filter_sentences(
     target = "_target"
     with_target = add_once(df, {target: tx.plain_letters(F.col(title))})
     if works is not None:
-        named = works.groupBy(doc_id).agg(F.collect_set("value").alias("_works"))
+        named = works.groupBy(doc_id).agg(F.sort_array(F.collect_set("value")).alias("_works"))
         with_target = with_target.join(named, doc_id, "left")
     else:
         with_target = with_target.withColumn("_works", F.lit(None).cast("array<string>"))
@@ -169,11 +166,17 @@ def filter_sentences(
         joined = F.array_join(F.transform(kept, lambda x: x["raw"]), " ")
         return with_target.withColumn(out, joined).drop(target, "_works")
 
-    # Many titles: sentences become rows, meet titles by grams, and go back.
-    rows = with_target.select(
-        F.col(doc_id), target, "_works", F.posexplode(tx.sentences(F.col(text))).alias("_pos", "_sentence")
-    ).withColumn("_unit", F.struct(doc_id, "_pos"))
-    units = rows.select("_unit", tx.plain_letters(F.col("_sentence")).alias("_plain"))
+    # Many titles: sentences become rows, meet titles by grams, and go back.  What
+    # is kept depends on text, target and works alone, so rows are matched by a
+    # digest of the three: ids may be missing or repeated.
+    blank = F.struct(F.col(text).isNull(), F.col(target).isNull())
+    content = F.md5(F.to_json(F.struct(F.col(text).alias("t"), F.col(target).alias("g"), F.col("_works").alias("w"), blank.alias("b"))))
+    keyed = with_target.withColumn("_content", content)
+    rows = keyed.dropDuplicates(["_content"]).select(
+        "_content", target, "_works", F.posexplode(tx.sentences(F.col(text))).alias("_pos", "_sentence")
+    )
+    rows = add_once(rows, {"_plain": tx.plain_letters(F.col("_sentence"))}).withColumn("_unit", F.md5("_plain"))
+    units = rows.select("_unit", "_plain").dropDuplicates(["_unit"])
     named = _find_by_grams(units, keys, whole_words).groupBy("_unit").agg(F.collect_set("title").alias("_named"))
     judged = rows.join(named, "_unit", "left").withColumn(
         "_named",
@@ -181,9 +184,10 @@ def filter_sentences(
     )
     regrouped = (
         judged.filter(_concerns(F.col("_named"), F.col(target)))
-        .groupBy(doc_id)
+        .groupBy("_content")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_sentence"))).alias("_kept"))
-        .select(doc_id, F.array_join(F.col("_kept._sentence"), " ").alias("_text"))
+        .select("_content", F.array_join(F.col("_kept._sentence"), " ").alias("_text"))
     )
-    rest = with_target.drop(target, "_works")
-    return rest.join(regrouped, doc_id, "left").withColumn(out, F.coalesce("_text", F.lit(""))).drop("_text")
+    joined = keyed.join(regrouped, "_content", "left")
+    kept_text = F.when(F.col(text).isNotNull(), F.coalesce("_text", F.lit("")))
+    return joined.withColumn(out, kept_text).drop("_text", "_content", target, "_works")

@@ -25,69 +25,78 @@ def merge_dictionaries(general: DataFrame, domain: DataFrame) -> DataFrame:
     return general.join(domain.select("term"), "term", "left_anti").unionByName(domain)
 
 
-def small_dictionary(dictionary: DataFrame, key: str, value: str, limit: int = LITERAL_LIMIT) -> dict | None:
-    """The dictionary as a dict when it has at most ``limit`` rows, else None."""
-    rows = dictionary.select(key, value).limit(limit + 1).collect()
-    return None if len(rows) > limit else {r[0]: r[1] for r in rows if r[0] is not None}
+def entries_of(dictionary: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value) with one row per key: entries without key or value do not count, the greatest value wins."""
+    usable = dictionary.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    return usable.groupBy(F.col(key).alias("_word")).agg(F.max(value).alias("_new"))
 
 
-def replace_tokens(
-    df: DataFrame, tokens: str, dictionary: DataFrame, key: str, value: str, doc_id: str = "review_id"
-) -> DataFrame:
-    """Swap each token found in ``dictionary``.
+def small_dictionary(entries: DataFrame, limit: int = LITERAL_LIMIT) -> dict | None:
+    """The entries as a dict when there are at most ``limit``, else None."""
+    rows = entries.select("_word", "_new").limit(limit + 1).collect()
+    return None if len(rows) > limit else {r["_word"]: r["_new"] for r in rows}
+
+
+def _with_content(df: DataFrame, tokens: str) -> DataFrame:
+    """Adds a digest of the tokens.  What a row's tokens become depends on nothing else, so rows are
+    matched by it: ids may be missing or repeated, and equal rows are looked up once."""
+    return df.withColumn("_content", F.md5(F.to_json(F.col(tokens))))
+
+
+def _distinct_words(df: DataFrame, tokens: str) -> DataFrame:
+    return df.select("_content", F.explode(F.array_distinct(tokens)).alias("_word")).distinct()
+
+
+def replace_tokens(df: DataFrame, tokens: str, dictionary: DataFrame, key: str, value: str) -> DataFrame:
+    """Swap each token found in ``dictionary``; see ``entries_of`` for repeated keys and missing values.
 
     A small dictionary is a literal lookup inside the row, without a shuffle.
-    A large one is joined with the distinct words of each document, and only
-    the hits travel back to the document.
+    A large one is joined with the distinct words of each text, and only the
+    hits travel back.  Both give the same rows.
     """
-    mapping = small_dictionary(dictionary, key, value)
+    entries = entries_of(dictionary, key, value)
+    mapping = small_dictionary(entries)
     if mapping is not None:
         return df.withColumn(tokens, tx.lookup_each(F.col(tokens), mapping))
-    entries = dictionary.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("_word"), F.col(value).alias("_new")
-    )
+    keyed = _with_content(df, tokens)
     hits = (
-        df.select(doc_id, F.explode(F.array_distinct(tokens)).alias("_word"))
+        _distinct_words(keyed, tokens)
         .join(entries, "_word")
-        .groupBy(doc_id)
+        .groupBy("_content")
         .agg(F.map_from_entries(F.collect_list(F.struct("_word", "_new"))).alias("_hits"))
     )
     swapped = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(F.col("_hits"), t), t))
     return (
-        df.join(hits, doc_id, "left")
+        keyed.join(hits, "_content", "left")
         .withColumn(tokens, F.when(F.col("_hits").isNull(), F.col(tokens)).otherwise(swapped))
-        .drop("_hits")
+        .select(*df.columns)
     )
 
 
-def drop_tokens(
-    df: DataFrame, tokens: str, unwanted: DataFrame, key: str, also: Sequence[str] = (), doc_id: str = "review_id"
-) -> DataFrame:
+def drop_tokens(df: DataFrame, tokens: str, unwanted: DataFrame, key: str, also: Sequence[str] = ()) -> DataFrame:
     """Remove the tokens listed in ``unwanted`` and in ``also``; same two ways as above."""
-    listed = small_dictionary(unwanted, key, key)
+    listed = small_dictionary(entries_of(unwanted, key, key))
     if listed is not None:
         return df.withColumn(tokens, tx.drop_each(F.col(tokens), list(dict.fromkeys([*listed, *also]))))
-    df = df.withColumn(tokens, tx.drop_each(F.col(tokens), list(also)))
+    keyed = _with_content(df.withColumn(tokens, tx.drop_each(F.col(tokens), list(also))), tokens)
     hits = (
-        df.select(doc_id, F.explode(F.array_distinct(tokens)).alias("_word"))
+        _distinct_words(keyed, tokens)
         .join(unwanted.select(F.col(key).alias("_word")), "_word", "left_semi")
-        .groupBy(doc_id)
+        .groupBy("_content")
         .agg(F.collect_set("_word").alias("_hits"))
     )
     kept = F.filter(tokens, lambda t: ~F.array_contains(F.col("_hits"), t))
     return (
-        df.join(hits, doc_id, "left")
+        keyed.join(hits, "_content", "left")
         .withColumn(tokens, F.when(F.col("_hits").isNull(), F.col(tokens)).otherwise(kept))
-        .drop("_hits")
+        .select(*df.columns)
     )
 
 
-def expand_slang(
-    df: DataFrame, dictionary: DataFrame, text: str = "text", out: str = "text", doc_id: str = "review_id"
-) -> DataFrame:
+def expand_slang(df: DataFrame, dictionary: DataFrame, text: str = "text", out: str = "text") -> DataFrame:
     """Whole-token dictionary lookup; tokens joined again with one space."""
     split = df.withColumn("_tokens", tx.words(F.col(text)))
-    swapped = replace_tokens(split, "_tokens", dictionary, "term", "expansion", doc_id)
+    swapped = replace_tokens(split, "_tokens", dictionary, "term", "expansion")
     return swapped.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
 
 
@@ -97,7 +106,6 @@ def lemmatize_filter(
     stopwords: DataFrame,
     text: str = "text",
     out: str = "tokens",
-    doc_id: str = "review_id",
 ) -> DataFrame:
     """Words to lower-case lemmas, without stop words and bare punctuation.
 
@@ -106,17 +114,17 @@ def lemmatize_filter(
     """
     found = df.withColumn(out, tx.words(F.col(text)))
     lowered = lemmas.select("word", F.lower("lemma").alias("lemma"))
-    swapped = replace_tokens(found, out, lowered, "word", "lemma", doc_id)
+    swapped = replace_tokens(found, out, lowered, "word", "lemma")
     swapped = swapped.withColumn(
         out, F.filter(F.transform(out, lambda t: F.lower(t)), lambda t: t.rlike(r"[\p{L}\p{N}]"))
     )
-    return drop_tokens(swapped, out, stopwords, "word", CORPUS_STOP_WORDS, doc_id)
+    return drop_tokens(swapped, out, stopwords, "word", CORPUS_STOP_WORDS)
 
 
-def clean_words(df: DataFrame, dictionary: DataFrame, text: str, out: str, doc_id: str = "review_id") -> DataFrame:
+def clean_words(df: DataFrame, dictionary: DataFrame, text: str, out: str) -> DataFrame:
     """Basic clean, slang, deep clean - in this order."""
     cleaned = df.withColumn(out, tx.basic_clean(F.col(text)))
-    return expand_slang(cleaned, dictionary, out, out, doc_id).withColumn(out, tx.deep_clean(F.col(out)))
+    return expand_slang(cleaned, dictionary, out, out).withColumn(out, tx.deep_clean(F.col(out)))
 
 
 def preprocess(
@@ -126,9 +134,8 @@ def preprocess(
     stopwords: DataFrame,
     text: str = "text",
     out: str = "processed_text",
-    doc_id: str = "review_id",
 ) -> DataFrame:
     """Clean words, lemmas, no stop words; joined with one space."""
-    cleaned = clean_words(df, dictionary, text, out, doc_id)
-    tokens = lemmatize_filter(cleaned, lemmas, stopwords, out, "_lemmas", doc_id)
+    cleaned = clean_words(df, dictionary, text, out)
+    tokens = lemmatize_filter(cleaned, lemmas, stopwords, out, "_lemmas")
     return tokens.withColumn(out, F.array_join("_lemmas", " ")).drop("_lemmas")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +24,31 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: the session's checkpoint folder.
+    """The folder that driver and executors share: the checkpoint folder, or one beside the session's tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def _file(spark: SparkSession, path: str):
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder, files = _file(spark, path)
+    files.delete(folder, True)
+    if path in STORED:
+        STORED.remove(path)
 
-    A private folder is only made where none is set and driver and executors
-    are one process; on a cluster a missing setting is an error.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
-    return context.getCheckpointDir()
+
+# Paths of the stored tables that are still there, oldest first.
+STORED: list[str] = []
+
+
+def release_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables by path; those already gone are passed over."""
+    for path in paths:
+        _remove(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -51,4 +62,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     app = spark.sparkContext.applicationId
     path = f"{shared_dir(spark)}/marquee/{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder, files = _file(spark, path)
+    files.deleteOnExit(folder)  # what is stored lives as long as the session, if nobody releases it before
+    stored = spark.read.schema(df.schema).parquet(path)
+    STORED.append(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` has stored and nothing will read again."""
+    for table in tables:
+        _remove(table.sparkSession, table.stored_at)

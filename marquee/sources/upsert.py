@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.groups import broadcast_if_small, first_per_key
+from marquee.operators.groups import stored_keys, first_per_key
 
 
 def upsert_reviews(
@@ -31,6 +31,6 @@ def upsert_reviews(
     rest = [c for c in current.columns if c != key and c not in tie_break]
     order = [F.col("_batch").desc(), *[F.col(c).asc_nulls_last() for c in (*tie_break, *rest)]]
     newest = first_per_key(stacked, [key], order).drop("_batch")
-    replaced = broadcast_if_small(stacked.select(F.col(key).alias("_new")).distinct())
+    replaced = stored_keys(stacked.select(F.col(key).alias("_new")).distinct())
     kept = current.join(replaced, F.col(key).eqNullSafe(F.col("_new")), "left_anti")
     return kept.unionByName(newest)

@@ -67,6 +67,45 @@ def test_large_dictionary_gives_the_same(spark, monkeypatch):
     assert sorted(map(str, small)) == sorted(map(str, large))
 
 
+# Ids that repeat or are missing, keys that repeat, values that are null.
+ODD_ROWS = [("r1", "brb x"), ("r1", "y brb"), (None, "brb"), (None, "other"), ("r2", None), ("r3", ""), ("r3", "brb x")]
+
+
+@pytest.mark.parametrize("limit", [2000, 0])
+def test_odd_ids_and_entries_in_dictionaries(spark, monkeypatch, limit):
+    monkeypatch.setattr(tk.small_dictionary, "__defaults__", (limit,))
+    df = spark.createDataFrame(ODD_ROWS, "review_id string, text string")
+    entries = [("brb", "be"), ("brb", "back"), ("x", None), (None, "z"), ("x", None), ("y", None), ("y", "yes")]
+    found = tk.expand_slang(df, spark.createDataFrame(entries, "term string, expansion string"))
+    want = [("r1", "be x"), ("r1", "yes be"), (None, "be"), (None, "other"), ("r2", None), ("r3", ""), ("r3", "be x")]
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, want))
+    tokens = df.select("review_id", F.split("text", " ").alias("tokens"))
+    stops = spark.createDataFrame([("x",), ("x",), (None,)], "word string")
+    left = [(r[0], r[1]) for r in tk.drop_tokens(tokens, "tokens", stops, "word", ["y"]).collect()]
+    want = [("r1", ["brb"]), ("r1", ["brb"]), (None, ["brb"]), (None, ["other"]), ("r2", None), ("r3", [""]), ("r3", ["brb"])]
+    assert sorted(map(str, left)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("limit", [500, 0])
+def test_odd_ids_in_titles(spark, monkeypatch, limit):
+    monkeypatch.setattr(ti, "LITERAL_LIMIT", limit)
+    rows = [
+        ("r1", "Thor", "Thor rocks. Up is not. Bye."), ("r1", "Up", "Thor rocks. Up is not. Bye."), ("r1", "Up", "Up. Hi."),
+        (None, "Thor", "See Up. Then Thor."), (None, None, "See Up. Plain."), ("r2", "Up", None), ("r2", "Up", ""),
+    ]
+    df = spark.createDataFrame(rows, "review_id string, movie_title string, text string")
+    keys = keys_of(spark, TITLES)
+    named = [tuple(r)[1:] for r in ti.find_titles(df, keys, whole_words=True).collect()]
+    want = [(t, x, sorted(k for k in ("Thor", "Up") if x and k in x)) for _, t, x in rows]
+    assert sorted(map(str, named)) == sorted(map(str, want))
+    kept = sorted(str((r.review_id, r.movie_title, r.text)) for r in ti.filter_sentences(df, keys, whole_words=True).collect())
+    want = [
+        ("r1", "Thor", "Thor rocks. Bye."), ("r1", "Up", "Up is not. Bye."), ("r1", "Up", "Up. Hi."),
+        (None, "Thor", "Then Thor."), (None, None, "Plain."), ("r2", "Up", None), ("r2", "Up", ""),
+    ]
+    assert kept == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("limit", [2000, 1])
 def test_lemmas_and_stop_words(spark, monkeypatch, limit):
     monkeypatch.setattr(tk.small_dictionary, "__defaults__", (limit,))
