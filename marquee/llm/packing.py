@@ -19,9 +19,9 @@ value; an empty table gives no rows; further columns are not looked at.
 from __future__ import annotations
 
 import heapq
+import struct
 import zlib
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,33 +39,34 @@ RANKS_PER_CHUNK = 1024  # ranks of one length that meet their places in one grou
 _RUNS = "shard int, kind string, size int, lo bigint, n bigint, first bigint, per bigint, at int"
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, piece, start, length, ids_crc32, ids): each text's ids and the end id, cut only beyond ``capacity``."""
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, key: str = "doc_id", text: str = "text", with_ids: bool = True
+) -> DataFrame:
+    """(key, piece, start, length, ids_crc32[, ids]): each text's ids and the end id, cut only beyond ``capacity``."""
     kind = docs.schema[key].dataType.simpleString()
+    end = struct.pack("<I", end_id)
 
     def work(batches):
         bpe = word_bpe(path)
         for batch in batches:
             for first, texts in steps(batch, text):
                 rows: list[tuple] = []
-                for i, words in enumerate(bpe.encode(texts)):
-                    ids = np.fromiter(chain(chain.from_iterable(words), (end_id,)), dtype="<u4")
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start : start + capacity]
-                        rows.append((first + i, piece, start, len(part), zlib.crc32(part.tobytes()), part))
+                for i, raw in enumerate(bpe.encode(texts)):
+                    raw += end
+                    for piece, start in enumerate(range(0, len(raw), 4 * capacity)):
+                        part = raw[start : start + 4 * capacity]
+                        rows.append((first + i, piece, start // 4, len(part) // 4, zlib.crc32(part), part))
                 at, piece, start, length, crc, parts = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(key).take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(np.concatenate(parts).astype(np.int32))
-                        ),
-                    ],
-                    names=[key, "piece", "start", "length", "ids_crc32", "ids"],
-                )
-
-    schema = f"`{key}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
+                columns = [
+                    batch.column(key).take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+                ]
+                if with_ids:
+                    edges = pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(edges, pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))))
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
+
+    schema = f"`{key}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
     return docs.select(key, text).mapInArrow(work, schema)
 
 
@@ -191,5 +192,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", piece
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Tokenise, cut and pack: (key, piece, start, length, ids_crc32, sequence_id, offset)."""
-    pieces = materialise(token_pieces(docs, path, capacity, key=key, text=text).drop("ids"), "packing-pieces")
+    pieces = materialise(token_pieces(docs, path, capacity, key=key, text=text, with_ids=False), "packing-pieces")
     return pack(pieces, capacity, key)

@@ -12,7 +12,9 @@ from __future__ import annotations
 import gc
 import json
 import re
+import struct
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import regex
@@ -85,21 +87,21 @@ class WordBpe:
         ids[ends] = self.last[every[ends]]
         return self.merger.merge_all(ids, lengths)
 
-    def learn(self, words: list[str]) -> dict[str, list[int]]:
+    def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not in the cache yet."""
         plain = [w for w in words if self.plain(w)]
         pieces = [self.pieces(w) for w in plain]
         merged = iter(self.merge([p for own in pieces for p in own]))
-        learned = {w: [i for _ in own for i in next(merged)] for w, own in zip(plain, pieces)}
-        if others := [w for w in words if w not in learned]:
-            learned.update(zip(others, (e.ids for e in self.library.encode_batch(others, add_special_tokens=False))))
-        return learned
+        ids = {w: list(chain.from_iterable(islice(merged, len(own)))) for w, own in zip(plain, pieces)}
+        if others := [w for w in words if w not in ids]:
+            ids.update(zip(others, (e.ids for e in self.library.encode_batch(others, add_special_tokens=False))))
+        return {w: struct.pack(f"<{len(i)}I", *i) for w, i in ids.items()}
 
-    def encode(self, texts: list[str]) -> list[list[list[int]]]:
-        """For each text the ids of its words."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) for t in texts]
         found = [list(map(self._cache.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found) for w, i in zip(words, ids) if i is None}
+        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
         if missing:
             learned = self.learn(list(missing))
             for words, ids in zip(split, found):
@@ -107,7 +109,7 @@ class WordBpe:
                     ids[:] = [learned[w] if i is None else i for w, i in zip(words, ids)]
             self._cache.make_room()
             self._cache.update(learned)
-        return found
+        return list(map(b"".join, found))
 
 
 @lru_cache(maxsize=2)
