@@ -38,12 +38,12 @@ from marquee.session import materialise
 THRESHOLD = 0.93
 CODES = 8  # product codes, each with a rotation of its own
 WORDS = 256  # codewords of each of a code's two blocks
-CAP = 3.5  # height of a cap in standard deviations of a random direction's score
+FILTERS = 70  # filters that a random vector exceeds on average; fixes the height of the caps in any dimension
 BLOCK = 2048  # vectors that one group compares with another
 _FINITE = "embedding IS NOT NULL AND size(embedding) > 0 AND forall(embedding, x -> x IS NOT NULL AND x = x AND abs(x) < double('inf')) AND exists(embedding, x -> x <> 0)"
 
 
-@lru_cache(maxsize=16)
+@lru_cache(maxsize=64)
 def _code(dim: int, words: int, seed: int) -> tuple[np.ndarray, int, list[np.ndarray]]:
     """Signs, padded dimension and the codewords of the two blocks."""
     random = np.random.default_rng(seed)
@@ -53,6 +53,16 @@ def _code(dim: int, words: int, seed: int) -> tuple[np.ndarray, int, list[np.nda
     return signs, padded, [b / np.linalg.norm(b, axis=1, keepdims=True) for b in books]
 
 
+@lru_cache(maxsize=64)
+def cap_height(dim: int, words: int, seed: int, filters: float) -> float:
+    """The score that random unit vectors reach in ``filters`` directions of a code on average."""
+    unit = np.random.default_rng(99).standard_normal((64, dim))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    left, right = _block_scores(unit, words, seed)
+    every = (left[:, :, None] + right[:, None, :]).ravel()
+    return float(np.partition(every, -int(64 * filters))[-int(64 * filters)])
+
+
 def _hadamard(x: np.ndarray) -> np.ndarray:
     n, width = x.shape[1], 1
     while width < n:
@@ -62,17 +72,20 @@ def _hadamard(x: np.ndarray) -> np.ndarray:
     return x / math.sqrt(n)
 
 
-def _exceeded_in(unit: np.ndarray, words: int, cap: float, seed: int) -> list[np.ndarray]:
-    """For each unit vector the filters of one product code that it exceeds."""
+def _block_scores(unit: np.ndarray, words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The products of both blocks of the rotated vectors with all codewords."""
     signs, padded, books = _code(unit.shape[1], words, seed)
     x = np.zeros((len(unit), padded))
     x[:, : unit.shape[1]] = unit
     for s in signs:
         x = _hadamard(x * s)
-    half = padded // 2
-    height = cap * math.sqrt(2 / padded)  # of the sum of two block scores
+    return x[:, : padded // 2] @ books[0].T, x[:, padded // 2 :] @ books[1].T
+
+
+def exceeded_in(unit: np.ndarray, words: int, height: float, seed: int) -> list[np.ndarray]:
+    """For each unit vector the filters of one product code whose score is at least ``height``."""
     out = []
-    for left, right in zip(x[:, :half] @ books[0].T, x[:, half:] @ books[1].T):
+    for left, right in zip(*_block_scores(unit, words, seed)):
         first = np.flatnonzero(left >= height - right.max())
         second = np.flatnonzero(right >= height - left.max())
         second = second[np.argsort(-right[second])]
@@ -81,9 +94,9 @@ def _exceeded_in(unit: np.ndarray, words: int, cap: float, seed: int) -> list[np
     return out
 
 
-def exceeded(unit: np.ndarray, codes: int = CODES, words: int = WORDS, cap: float = CAP) -> list[np.ndarray]:
+def exceeded(unit: np.ndarray, codes: int = CODES, words: int = WORDS, filters: int = FILTERS) -> list[np.ndarray]:
     """For each unit vector all filters it exceeds, in order."""
-    found = [_exceeded_in(unit, words, cap, seed) for seed in range(codes)]
+    found = [exceeded_in(unit, words, cap_height(unit.shape[1], words, seed, filters / codes), seed) for seed in range(codes)]
     return [np.sort(np.concatenate([f + i * words * words for i, f in enumerate(own)])) for own in zip(*found)]
 
 
