@@ -217,12 +217,13 @@ def span_digest(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans become one, named by the first."""
-    annotated = materialise(_annotated(docs, text), "pii-annotated")
+    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))  # no name of theirs meets one of ours
+    annotated = materialise(_annotated(packed, "text"), "pii-annotated")
     extra = _extra(annotated, bootstrap(annotated))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     spans = F.array_sort(F.concat(_ordered(F.col("_base")), F.coalesce(F.col("_extra"), empty)))
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
-    source = F.col(text)
+    source = F.col("text")
 
     def step(acc, s):
         gap = source.substr(acc["at"] + 1, s["start"] - acc["at"])
@@ -235,4 +236,5 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], source.substr(acc["at"] + 1, F.length(source))))
     joined = annotated.join(extra, "_text_id", "left").withColumn("_spans", spans)
-    return joined.withColumn(text, F.when(F.size("_spans") > 0, clean).otherwise(source)).select(*docs.columns)
+    clean = F.when(F.size("_spans") > 0, clean).otherwise(source)
+    return joined.select(*[clean.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
