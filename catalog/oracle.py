@@ -27,6 +27,8 @@ def values(rows, names: str) -> str:
     return f"SELECT * FROM (VALUES {shown}) AS t({names})"
 
 
+MODELS = values([("logistic_regression",), ("linear_svm",), ("uniform_baseline",)], "model")
+
 # --- views ------------------------------------------------------------------------
 
 VIEWS: dict[str, str] = {}
@@ -498,7 +500,7 @@ def oracle() -> dict[str, str]:
     complete = " AND ".join(f"{c.strip()} IS NOT NULL" for c in R.split(","))
     coin = f"CASE WHEN substr({DRAW.format(seed=99)}, 1, 1) < '8' THEN 0 ELSE 1 END"
     facet = "SELECT {c} AS value, count(*) AS count FROM hits WHERE {c} IS NOT NULL AND {c} <> '' GROUP BY ALL ORDER BY count DESC, value LIMIT {k}"
-    return {
+    made = {
         "flatten_pages": query(
             f"""SELECT movie_id, movie_title, review_id, CASE WHEN downvotes <> 5 THEN author END AS author, author_rating,
                 CASE WHEN downvotes <> 6 THEN upvotes END AS upvotes, CASE WHEN downvotes <> 6 THEN downvotes END AS downvotes,
@@ -694,6 +696,14 @@ def oracle() -> dict[str, str]:
         "search_by_date": top(ONE, by="submission_date"),
         "search_boosted": top(ONE, by="scores.score + docs_v.helpfulness_score", score="scores.score + docs_v.helpfulness_score"),
         "search_postings": REVIEW_SQL,
+        "index_bm25": top(ONE),
+        "index_phrase": PHRASE_SQL,
+        "index_filtered": top(
+            term_scores(["thing", "of"]),
+            """movie_title = 'red plate' AND author_rating BETWEEN 1 AND 4
+               AND submission_date BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2000-12-31 23:59:59'""",
+        ),
+        "index_windows": over_hits(_windows()),
         "search_postings_phrase": PHRASE_SQL,
         "postings": query("SELECT field, term, id, CAST(tf AS INTEGER) AS tf, positions, CAST(field_len AS INTEGER) AS field_len FROM postings_v", "postings"),
         "term_stats": query("SELECT field, term, count(DISTINCT id) AS df, count(*) AS total FROM places_v GROUP BY ALL", "places"),
@@ -733,9 +743,25 @@ def oracle() -> dict[str, str]:
                FROM documents WHERE doc_id % 11 = 0 OR doc_id % 100 <> 0""",
             "tfidf",
         ),
+        **{
+            f"score_{short}": query(
+                f"""SELECT review_id, movie_id, '{model}' AS model, 'preprocessed_text' AS text_source,
+                    TRUE AS is_share, TRUE AS label_fits FROM reviews_v""",
+                "reviews",
+            )
+            for short, model in (("lr", "logistic_regression"), ("svm", "linear_svm"))
+        },
+        "score_corpus": query(
+            f"""SELECT model, 'preprocessed_text' AS text_source, count(*) AS rows_scored, TRUE AS all_labelled, TRUE AS share_fits
+                FROM reviews_v, ({MODELS}) GROUP BY model""",
+            "reviews",
+        ),
+        "model_matrix": f"""SELECT text_source, model, TRUE AS are_shares
+            FROM (VALUES ('preprocessed_text'), ('augmented_text')) AS s(text_source), ({MODELS})""",
         "score_dummy": query(
             f"""SELECT review_id, CASE {coin} WHEN 1 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS predicted_label,
                 CAST(0.5 AS DOUBLE) AS predicted_positive_probability FROM reviews_v""",
             "reviews",
         ),
     }
+    return made | {"index_facets": made["facet_multi"]}

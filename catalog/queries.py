@@ -313,17 +313,22 @@ def search_phrase(spark, d):
     return _hits(spark, d, se.SearchRequest(PHRASE, CONTENT, phrase=True))
 
 
+# The years reach further than the instants: both bounds have to hold.
+FILTERED = se.SearchRequest(
+    "thing of",
+    CONTENT,
+    title="red plate",
+    min_rating=1,
+    max_rating=4,
+    start_year=1990,
+    end_year=2000,
+    start="1995-01-01 00:00:00",
+    end="2001-12-31 00:00:00",
+)
+
+
 def search_filtered(spark, d):
-    request = se.SearchRequest(
-        "thing of",
-        CONTENT,
-        title="red plate",
-        min_rating=1,
-        max_rating=4,
-        start="1995-01-01 00:00:00",
-        end="2000-12-31 00:00:00",
-    )
-    return _hits(spark, d, request)
+    return _hits(spark, d, FILTERED)
 
 
 REVIEW_REQUEST = se.SearchRequest(
@@ -357,6 +362,37 @@ def _index(spark, d) -> postings.SearchIndex:
     return postings.SearchIndex(docs, built, postings.field_stats(built), PLAIN)
 
 
+def _written(spark, d) -> postings.SearchIndex:
+    path = session.scratch_folder(spark, "index")
+    postings.write_index(v.docs(spark, d), path)
+    return postings.load_index(spark, path)
+
+
+def _index_hits(spark, d, request: se.SearchRequest) -> DataFrame:
+    return _rounded(se.search_index(_written(spark, d), request).select(*HIT), "helpfulness_score")
+
+
+def index_bm25(spark, d):
+    return _index_hits(spark, d, se.SearchRequest(TERM, CONTENT))
+
+
+def index_phrase(spark, d):
+    return _index_hits(spark, d, se.SearchRequest(PHRASE, CONTENT, phrase=True))
+
+
+def index_filtered(spark, d):
+    return _index_hits(spark, d, FILTERED)
+
+
+def index_facets(spark, d):
+    found = se.matching_index(_written(spark, d), se.SearchRequest(TERM, CONTENT, phrase=True))
+    return facets.facet_many(found, ["movie_title", "year", "sentiment"], limit=10)
+
+
+def index_windows(spark, d):
+    return se.count_windows(se.matching_index(_written(spark, d), se.SearchRequest(TERM, CONTENT)), WINDOWS)
+
+
 def search_postings(spark, d):
     return _rounded(se.search_index(_index(spark, d), REVIEW_REQUEST), "helpfulness_score")
 
@@ -470,22 +506,33 @@ def _score_with(spark, d, names: tuple[str, ...]) -> DataFrame:
     return models.score_corpus(corpus, trained)
 
 
+def _sound(scored: DataFrame) -> DataFrame:
+    """What has to hold for any fit: a row for each review, a share for a probability, the label it stands for."""
+    share = F.col("predicted_positive_probability")
+    fits = (F.col("predicted_label") == lb.POSITIVE) == (share >= 0.5)
+    return scored.select("review_id", "movie_id", "model", "text_source", share.between(0, 1).alias("is_share"), fits.alias("label_fits"))
+
+
 def score_lr(spark, d):
-    return _score_with(spark, d, (models.LOGISTIC,))
+    return _sound(_score_with(spark, d, (models.LOGISTIC,)))
 
 
 def score_svm(spark, d):
-    return _score_with(spark, d, (models.SVM,))
+    return _sound(_score_with(spark, d, (models.SVM,)))
 
 
 def score_corpus(spark, d):
-    return metrics.prediction_balance(_score_with(spark, d, models.MODELS))
+    balance = metrics.prediction_balance(_score_with(spark, d, models.MODELS))
+    both = F.col("predicted_negative") + F.col("predicted_positive")
+    share = F.abs(F.col("predicted_positive_share") - F.col("predicted_positive") / F.col("rows_scored")) < 1e-6
+    return balance.select("model", "text_source", "rows_scored", (both == F.col("rows_scored")).alias("all_labelled"), share.alias("share_fits"))
 
 
 def model_matrix(spark, d):
     rows_ = _labelled_text(spark, d)
     done = models.evaluate_sources(rows_.filter("split = 'train'"), rows_.filter("split = 'test'"))
-    return done.summary
+    measures = F.array("accuracy", "macro_f1", "weighted_f1")
+    return done.summary.select("text_source", "model", F.forall(measures, lambda m: m.between(0, 1)).alias("are_shares"))
 
 
 QUERIES: dict[str, Query] = {
@@ -539,6 +586,11 @@ QUERIES: dict[str, Query] = {
     "search_by_date": search_by_date,
     "search_boosted": search_boosted,
     "search_postings": search_postings,
+    "index_bm25": index_bm25,
+    "index_phrase": index_phrase,
+    "index_filtered": index_filtered,
+    "index_facets": index_facets,
+    "index_windows": index_windows,
     "search_postings_phrase": search_postings_phrase,
     "postings": build_postings,
     "term_stats": term_stats,

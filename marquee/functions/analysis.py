@@ -10,6 +10,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,8 +50,13 @@ def _plain_query(text: str) -> list[str | None]:
 
 @F.pandas_udf(ArrayType(StringType()))
 def _stem_slots(slots: pd.Series) -> pd.Series:
-    # Words repeat: `stem` keeps what it has worked out per Python worker.
-    return slots.map(lambda row: None if row is None else [None if w is None else stem(w) for w in row])
+    """Stems the distinct words of a batch once and puts them back in their places."""
+    rows = slots.tolist()
+    sizes = [0 if row is None else len(row) for row in rows]
+    codes, words = pd.factorize(np.array([w for row in rows if row is not None for w in row], dtype=object))
+    stems = np.array([*map(stem, words), None], dtype=object)[codes]  # code -1: a gap
+    parts = np.split(stems, np.cumsum(sizes)[:-1]) if rows else []
+    return pd.Series([None if row is None else part.tolist() for row, part in zip(rows, parts)], dtype=object)
 
 
 def _english_slots(text: Column) -> Column:
@@ -70,3 +76,4 @@ def _english_query(text: str) -> list[str | None]:
 
 PLAIN = Analyzer("plain", _plain_slots, _plain_query, gapless=True, keeps_letters=True)
 ENGLISH = Analyzer("english", _english_slots, _english_query, gapless=False, keeps_letters=False)
+ANALYZERS = {a.name: a for a in (PLAIN, ENGLISH)}

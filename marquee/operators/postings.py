@@ -7,13 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.analysis import PLAIN, Analyzer
+from marquee.functions.analysis import ANALYZERS, PLAIN, Analyzer
 from marquee.functions.runs import run_ends, run_starts
 
 # Index field -> document column.  The analysed title sits beside the raw one.
 FIELDS = {"summary": "summary", "content": "content", "movie_title_t": "movie_title"}
 
 
+MIN_BUCKETS, DOCS_PER_BUCKET = 16, 500_000
+
+
 def build_postings(
     docs: DataFrame,
     fields: dict[str, str] = FIELDS,
@@ -77,13 +80,14 @@ def field_stats(postings: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """The tables a search reads; ``buckets`` is None for tables never written."""
+    """The tables a search reads; ``buckets`` and ``terms`` are None for tables never written."""
 
     docs: DataFrame
     postings: DataFrame
     stats: DataFrame
     analyzer: Analyzer = PLAIN
     buckets: int | None = None
+    terms: DataFrame | None = None
 
 
 def bucket_of(buckets: int, *columns: Column) -> Column:
@@ -95,18 +99,24 @@ def write_index(
     path: str,
     analyzer: Analyzer = PLAIN,
     mode: str = "errorifexists",
-    buckets: int = 16,
+    buckets: int | None = None,
     files_per_bucket: int = 4,
 ) -> None:
-    """Write postings, documents and field statistics.
+    """Write postings, documents, document frequencies and field statistics.
 
     Postings lie in one folder per hash bucket of (field, term), documents in
     one per hash bucket of the id, and every file is sorted by its key.  A query
     opens only the folders of its terms, and there only the row groups with
     them.  Inside a bucket rows are dealt out by id: a very common term is
-    written, and later read, by several tasks.  Raise ``buckets`` with the size
-    of the corpus.
+    written, and later read, by several tasks.  The number of buckets follows
+    from the number of documents unless it is given.  A blank id fails the job:
+    documents without a name would be one document to every search.
     """
+    spark = docs.sparkSession
+    named = F.length(F.trim(F.coalesce("id", F.lit("")))) > 0
+    docs = docs.filter(F.when(named, F.lit(True)).otherwise(F.raise_error(F.lit("a document has no id")).cast("boolean")))
+    if buckets is None:
+        buckets = max(MIN_BUCKETS, -(-docs.count() // DOCS_PER_BUCKET))
     postings = build_postings(docs, analyzer=analyzer)
     deal = F.pmod(F.xxhash64("id"), F.lit(files_per_bucket))
     (
@@ -119,19 +129,30 @@ def write_index(
     )
     (
         docs.withColumn("bucket", bucket_of(buckets, F.col("id")))
-        .repartition(buckets, "bucket")
+        .repartition(buckets * files_per_bucket, "bucket", F.pmod(F.hash("id"), F.lit(files_per_bucket)))
         .sortWithinPartitions("bucket", "id")
         .write.mode(mode)
         .partitionBy("bucket")
         .parquet(f"{path}/docs")
     )
-    stats = field_stats(docs.sparkSession.read.parquet(f"{path}/postings")).withColumn("buckets", F.lit(buckets))
+    written = spark.read.parquet(f"{path}/postings")
+    counted = written.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df"))
+    counted.sortWithinPartitions("field", "term").write.mode(mode).parquet(f"{path}/terms")
+    stats = field_stats(written).withColumn("buckets", F.lit(buckets)).withColumn("analyzer", F.lit(analyzer.name))
     stats.coalesce(1).write.mode(mode).parquet(f"{path}/stats")
 
 
-def load_index(spark: SparkSession, path: str, analyzer: Analyzer = PLAIN) -> SearchIndex:
+def load_index(spark: SparkSession, path: str, analyzer: Analyzer | None = None) -> SearchIndex:
+    """The index at ``path`` with the analyser it was written with; another one given is an error."""
     read = spark.read.parquet
     stats = read(f"{path}/stats")
     # One row per field.
-    buckets = max((r["buckets"] for r in stats.select("buckets").collect()), default=None)
-    return SearchIndex(read(f"{path}/docs"), read(f"{path}/postings"), stats.drop("buckets"), analyzer, buckets)
+    rows = stats.select("buckets", "analyzer").collect()
+    buckets = max((r["buckets"] for r in rows), default=None)
+    written = {r["analyzer"] for r in rows}
+    if analyzer is not None and written - {analyzer.name}:
+        raise ValueError(f"the index was written with the analyser {written}, not with {analyzer.name}")
+    found = analyzer or next((ANALYZERS[name] for name in written), PLAIN)
+    return SearchIndex(
+        read(f"{path}/docs"), read(f"{path}/postings"), stats.drop("buckets", "analyzer"), found, buckets, read(f"{path}/terms")
+    )

@@ -25,6 +25,7 @@ from marquee.functions.analysis import PLAIN, Analyzer
 from marquee.functions.binding import add_once, let
 from marquee.operators.groups import top_per_group
 from marquee.operators.postings import FIELDS, SearchIndex, bucket_of, slot_count
+from marquee.session import materialise
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -42,7 +43,7 @@ class SearchRequest:
 
     ``movie`` asks for all of its words in the title, ``title`` for the exact
     title.  Years widen to whole years; ``start`` and ``end`` are inclusive
-    instants (``YYYY-MM-DD HH:MM:SS``).  ``boost`` adds a document column to
+    instants (``YYYY-MM-DD HH:MM:SS``); where both are given, both hold.  ``boost`` adds a document column to
     the score.
     """
 
@@ -118,11 +119,11 @@ def _filters(request: SearchRequest, analyzer: Analyzer) -> Column:
         parts.append(F.col("author_rating") >= float(request.min_rating))
     if request.max_rating is not None:
         parts.append(F.col("author_rating") <= float(request.max_rating))
-    start = request.start or (f"{request.start_year:04d}-01-01 00:00:00" if request.start_year else None)
-    end = request.end or (f"{request.end_year:04d}-12-31 23:59:59" if request.end_year else None)
-    if start:
+    first = f"{request.start_year:04d}-01-01 00:00:00" if request.start_year else None
+    last = f"{request.end_year:04d}-12-31 23:59:59" if request.end_year else None
+    for start in filter(None, (first, request.start)):  # every bound that is given holds
         parts.append(F.col("submission_date") >= F.lit(start).cast("timestamp"))
-    if end:
+    for end in filter(None, (last, request.end)):
         parts.append(F.col("submission_date") <= F.lit(end).cast("timestamp"))
     for word in dict.fromkeys(analyzer.terms(request.movie)):
         parts.append(F.array_contains(analyzer.slots(F.col("movie_title")), word))
@@ -299,14 +300,16 @@ def _index_scores(index: SearchIndex, query: _Query) -> DataFrame:
         ],
     )
     found = index.postings.filter(wanted)
+    here = F.lit(True)
     if index.buckets is not None:
-        found = found.filter(
-            F.col("bucket").isin([bucket_of(index.buckets, F.lit(f), F.lit(t)) for f, t in query.pairs])
-        )
+        here = F.col("bucket").isin([bucket_of(index.buckets, F.lit(f), F.lit(t)) for f, t in query.pairs])
+    found = found.filter(here)
+    if index.terms is None:
+        df = found.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    else:  # counted when the index was written
+        df = index.terms.filter(wanted & here).select("field", "term", "df")
     stats = (
-        found.groupBy("field", "term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .join(F.broadcast(index.stats), "field")
+        df.join(F.broadcast(index.stats), "field")
         .select("field", "term", _idf(F.col("n_docs"), F.col("df")).alias("idf"), (F.col("total_len") / F.col("n_docs")).alias("mean"))
     )
     # One row per (field, term) of the request on the broadcast side.
@@ -422,6 +425,7 @@ def compare_rankings(docs: DataFrame, request: SearchRequest, top_n: int = 5, an
     at most ``top_n`` rows per order.
     """
     hits = scored(docs, replace(request, boost=None), analyzer).select("id", "score", "helpfulness_score")
+    hits = materialise(hits, "ranking")  # three numbers a hit, for the orders and the count
     helpful = F.col("helpfulness_score")
     orders = F.array(
         F.struct(F.lit("bm25").alias("variant"), F.col("score").alias("_by")),
@@ -430,7 +434,7 @@ def compare_rankings(docs: DataFrame, request: SearchRequest, top_n: int = 5, an
     )
     ranked = hits.select("id", "helpfulness_score", F.inline(orders))
     best = top_per_group(ranked, ["variant"], [F.col("_by").desc(), F.col("id")], top_n)
-    found = matching(docs, request, analyzer).agg(F.count(F.lit(1)).alias("n")).scalar()
+    found = hits.agg(F.count(F.lit(1)).alias("n")).scalar()
     return best.groupBy("variant").agg(
         F.round(F.avg("helpfulness_score"), 6).alias("avg_helpfulness_top_n")
     ).withColumn("num_found", found)

@@ -28,9 +28,11 @@ def preprocess_for_title(
     return preprocess(filter_sentences(df, keys, works=works), dictionary, lemmas, stopwords)
 
 
-def index_reviews(reviews: DataFrame, path: str, analyzer: Analyzer = PLAIN, mode: str = "errorifexists") -> SearchIndex:
+def index_reviews(
+    reviews: DataFrame, path: str, analyzer: Analyzer = PLAIN, mode: str = "errorifexists", buckets: int | None = None
+) -> SearchIndex:
     """Review rows to a written index."""
-    write_index(to_index_docs(reviews), path, analyzer, mode)
+    write_index(to_index_docs(reviews), path, analyzer, mode, buckets)
     return load_index(reviews.sparkSession, path, analyzer)
 
 

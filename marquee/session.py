@@ -51,19 +51,25 @@ def release_paths(spark: SparkSession, paths: list[str]) -> None:
         _remove(spark, path)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, for files that live as long as the session."""
+    path = f"{shared_dir(spark)}/marquee/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    folder, files = _file(spark, path)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where one result feeds several jobs (model fits).  A written table
     outlives lost executors, cuts the lineage and gives the next plan real
-    size statistics.
+    size statistics.  It lives as long as the session, if nobody releases it.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/marquee/{app}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name) + "/table"
     df.write.parquet(path)
-    folder, files = _file(spark, path)
-    files.deleteOnExit(folder)  # what is stored lives as long as the session, if nobody releases it before
     stored = spark.read.schema(df.schema).parquet(path)
     STORED.append(path)
     stored.stored_at = path

@@ -207,3 +207,32 @@ def test_common_term_spreads_over_index_files(spark, tmp_path):
     assert {tuple(r) for r in po.load_index(spark, str(tmp_path / "i")).stats.collect()} == {
         ("content", 4000, 4000), ("movie_title_t", 4000, 4000),
     }
+
+
+def index_docs(spark):
+    rows = [("d1", "Running shoes", 1999), ("d2", "a runner runs", 2001), ("d3", "nothing", 2003)]
+    df = spark.createDataFrame(rows, "id string, content string, y int")
+    empty = {c: F.lit("x") for c in ("summary", "movie_title", "author", "sentiment")}
+    numbers = {c: F.lit(1.0) for c in ("author_rating", "upvotes", "downvotes", "helpfulness_score")}
+    dates = {"submission_date": F.make_timestamp(F.col("y"), F.lit(6), F.lit(1), F.lit(0), F.lit(0), F.lit(0))}
+    return df.withColumns({**empty, **numbers, **dates}).drop("y")
+
+
+def test_an_index_remembers_its_analyser(spark, tmp_path):
+    po.write_index(index_docs(spark), str(tmp_path / "i"), ENGLISH)
+    request = se.SearchRequest("running", ("content",))
+    assert [r.id for r in se.search_index(po.load_index(spark, str(tmp_path / "i")), request).collect()] == ["d1", "d2"]
+    assert {r.id for r in se.search_index(po.load_index(spark, str(tmp_path / "i"), ENGLISH), request).collect()} == {"d1", "d2"}
+    with pytest.raises(ValueError, match="english"):
+        po.load_index(spark, str(tmp_path / "i"), PLAIN)
+
+
+def test_an_index_refuses_blank_ids(spark, tmp_path):
+    docs = index_docs(spark).withColumn("id", F.when(F.col("id") != "d2", F.col("id")).otherwise(F.lit(" ")))
+    with pytest.raises(Exception, match="has no id"):
+        po.write_index(docs, str(tmp_path / "i"))
+
+
+def test_all_date_bounds_hold(spark):
+    request = se.SearchRequest("x", ("summary",), start_year=2000, start="1990-01-01 00:00:00", end_year=2005, end="2002-01-01 00:00:00")
+    assert [r.id for r in se.search(index_docs(spark), request).collect()] == ["d2"]
