@@ -120,6 +120,11 @@ class Network:
         pad[:, :, :HIDDEN] = 30
         return np.concatenate([gates, pad], axis=1)
 
+    def gates_of(self, words: list[bytes], step: int = 20_000) -> np.ndarray:
+        """``gates`` of many words, some at a time: their n-grams are many more than they."""
+        parts = [self.gates(self.inputs(words[i : i + step])[0])[:, :-1] for i in range(0, len(words), step)]
+        return np.concatenate([*parts, self.gates(np.zeros((0, 2 * WIDTH), np.float32))], axis=1)
+
     def forward(self, gates: np.ndarray, windows: np.ndarray, keep: bool = False):
         """Window logits; ``windows`` holds rows of ``gates``, the last one (padding) after a window's words."""
         h, again = HIDDEN, self.dense["again"]
@@ -192,7 +197,7 @@ def windows_of(n: int) -> list[tuple[int, int]]:
 
 
 def _padded(rows: np.ndarray, spans: list[tuple[int, int]], pad: int) -> np.ndarray:
-    out = np.full((len(spans), WINDOW), pad, dtype=np.int64)
+    out = np.full((len(spans), WINDOW), pad, dtype=np.int32)
     for i, (a, b) in enumerate(spans):
         out[i, : b - a] = rows[a:b]
     return out
@@ -203,18 +208,19 @@ def train(texts: list[str], labels: list[int], seed: int = 3, epochs: int = EPOC
     if len(set(labels)) < 2:
         return None
     random, net = np.random.default_rng(seed), Network(seed)
-    split = [words_of(t) for t in texts]
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words in split for w in words))}
-    names = list(vocabulary)
-    pad, first = len(names), 0
-    rows, owner, whole = [], [], []
-    for d, words in enumerate(split):
+    vocabulary: dict[bytes, int] = {}
+    first, rows, owner, whole = 0, [], [], []
+    for d, text in enumerate(texts):
+        words = words_of(text)
+        whole.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), dtype=np.int32, count=len(words)))
         spans = windows_of(len(words))
-        whole += words
         rows += [(first + a, first + b) for a, b in spans]
         owner += [d] * len(spans)
         first += len(words)
-    every = _padded(np.array([vocabulary[w] for w in whole], dtype=np.int64), rows, pad)
+    names = list(vocabulary)
+    pad = len(names)
+    del vocabulary
+    every = _padded(np.concatenate(whole), rows, pad)
     owner, truth = np.array(owner), np.array(labels, dtype=np.float32)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.dense.items()}
     sums = {"word": np.full(BUCKETS, 1e-8, np.float32), "gram": np.full(BUCKETS, 1e-8, np.float32)}
@@ -223,9 +229,8 @@ def train(texts: list[str], labels: list[int], seed: int = 3, epochs: int = EPOC
     for epoch in range(epochs):
         lot = random.random(len(owner))
         if epoch >= 2:  # the highest windows of each text instead of any
-            x, _ = net.inputs(names)
-            gates = net.gates(x)
-            score = np.concatenate([net.forward(gates, every[i : i + 4096]) for i in range(0, len(every), 4096)])
+            gates = net.gates_of(names)
+            score = np.concatenate([net.forward(gates, every[i : i + 2048]) for i in range(0, len(every), 2048)])
             lot = -score
         order = np.lexsort((lot, owner))
         place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
@@ -276,7 +281,7 @@ class Scorer:
             self._clear()
             new = list({w for words in split for w in words})
         if new:
-            fresh = self.net.gates(self.net.inputs(new)[0])[:, :-1]
+            fresh = self.net.gates_of(new)[:, :-1]
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.table = np.concatenate([self.table, fresh], axis=1)
         pad = self.net.gates(np.zeros((0, 2 * WIDTH), np.float32))
