@@ -507,9 +507,11 @@ def _score_with(spark, d, names: tuple[str, ...]) -> DataFrame:
 
 
 def _sound(scored: DataFrame) -> DataFrame:
-    """What has to hold for any fit: a row for each review, a share for a probability, the label it stands for."""
-    share = F.col("predicted_positive_probability")
-    fits = (F.col("predicted_label") == lb.POSITIVE) == (share >= 0.5)
+    """What has to hold for any fit: a row for each review, a share for a probability, and a label - of the
+    logistic model the one its share stands for, while the margin's share is fitted apart from its label."""
+    share, label = F.col("predicted_positive_probability"), F.col("predicted_label")
+    stands_for = (label == lb.POSITIVE) == (share >= 0.5)
+    fits = F.when(F.col("model") == models.LOGISTIC, stands_for).otherwise(label.isin(lb.POSITIVE, lb.NEGATIVE))
     return scored.select("review_id", "movie_id", "model", "text_source", share.between(0, 1).alias("is_share"), fits.alias("label_fits"))
 
 
