@@ -109,6 +109,26 @@ ORACLE: dict[str, str] = {
         SELECT e.vec_id, coalesce(n, 0) AS n_links, root AS component_id, e.vec_id = root AS kept
         FROM embeddings e JOIN component c ON c.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
     """,
+    "op6_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda x: x <> '') AS w
+            FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+            FROM w
+        ), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        link AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+        )
+        SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.root AS component_id
+        FROM s JOIN (SELECT a, min(b) AS root FROM reach GROUP BY a) c ON c.a = s.doc_id
+    """,
     "op7_url_filter": """
         WITH u AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
