@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.texts import hashed_sample
 from marquee.session import materialise
 
 K = 5
@@ -195,8 +196,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 256, ke
     if first is None:
         return vectors.sparkSession.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score bigint")
     rows = rows.where(F.size("x") == first["n"])
-    sample = rows.select("x").orderBy(F.xxhash64("x"), "x").limit(16 * PIVOTS).collect()
-    pivots = np.unique(np.array([r["x"] for r in sample]), axis=0)[:PIVOTS]
+    sample = hashed_sample(rows.select("id", "x"), 16 * PIVOTS, rows.count(), "id", "x").collect()
+    sample = sample or rows.select("x").limit(1).collect()  # chance may leave none of a few
+    pivots = np.unique(np.array([r["x"] for r in sample]), axis=0)
+    pivots = pivots[:: -(-len(pivots) // PIVOTS)]
 
     data, data_parts = _parts(rows.select("id", "x"), pivots, part, "topk-data")
     queries, query_parts = _parts(rows.where("asks").groupBy("id").agg(F.min("x").alias("x")), pivots, part, "topk-queries")

@@ -25,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import pickle
 import re
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.texts import steps
+from marquee.llm.texts import hashed_sample, steps
 
 SAMPLE = 200  # pages that training uses, chosen by hash
 LAYOUTS = 4  # further layouts of each
@@ -43,7 +44,7 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"\b(class|id|role|data-layout-mark)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var label wbr img br".split()
@@ -114,8 +115,8 @@ class Page:
             label, words = None, []
             for found in _ATTRIBUTE.finditer(token[4]):
                 value = found[2] or found[3] or found[4] or ""
-                if found[1].lower() == "data-y":
-                    label = int(value)
+                if found[1].lower() == "data-layout-mark":
+                    label = {"0": 0, "1": 1}.get(value)
                 else:
                     words += re.findall(r"[a-z]+", value.lower())
             stack.append(self._add(stack[-1], name, tuple(words), "", 0, label))
@@ -293,7 +294,7 @@ def _element(kind: str, mark: int, inner: str) -> str:
     if attribute:
         key, _, value = attribute.partition("=")
         attribute = f' {key}="{value}"'
-    return f"<{name}{attribute} data-y={mark}>{inner}</{name}>"
+    return f"<{name}{attribute} data-layout-mark={mark}>{inner}</{name}>"
 
 
 def _layout(blocks: list[tuple[str, str]], strange: list[str], random: np.random.Generator) -> str:
@@ -377,8 +378,10 @@ def _extractor(model: bytes) -> Extractor:
 
 def fit(pages: DataFrame, sample: int = SAMPLE, key: str = "page_id", source: str = "html") -> Extractor:
     """The extractor trained on at most ``sample`` pages."""
-    some = pages.where(F.length(source) > 0).orderBy(F.xxhash64(F.lit(17), F.col(key)), key).select(source).limit(sample)
-    return Extractor([r[0] for r in some.collect()])
+    filled = pages.where(F.length(source) > 0).select(F.col(key).alias("key"), F.col(source).alias("source"))
+    some = hashed_sample(filled, 2 * sample, filled.count(), "key", "source").collect()  # twice the sample, within chance
+    some = sorted(some, key=lambda r: zlib.crc32(r["source"].encode()))[:sample]
+    return Extractor([r["source"] for r in some])
 
 
 def extract(pages: DataFrame, model: Extractor, keep: tuple[str, ...] = ("page_id", "url"), source: str = "html") -> DataFrame:

@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+_RANGE = 1 << 40
 STEP_CHARS = 1 << 20  # characters that one step of a batch holds before the next begins
 
 
@@ -14,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hashed_sample(df: DataFrame, rows: float, total: int, *columns: str) -> DataFrame:
+    """About ``rows`` of ``total`` rows, the same ones every time, by a hash of ``columns``.
+
+    Every task keeps its share, so what the sample weighs does not grow with the tasks.
+    """
+    share = F.lit(min(1.0, rows / max(1, total)) * _RANGE)
+    return df.where(F.pmod(F.xxhash64(F.lit(17), *columns), F.lit(_RANGE)) < share)
+
+
 def steps(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) over a batch; a null text is an empty one.
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import gc
 import pickle
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.texts import steps
+from marquee.llm.texts import hashed_sample, steps
 
 POSITIVES, NEGATIVES = 1000, 2400  # labelled rows that training uses at most, chosen by hash
 WINDOW, STRIDE = 64, 32
@@ -317,11 +318,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
     """The network trained on labelled rows for which ``learn`` holds, at most so many of each kind."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).where(learn)
     known = known.groupBy(key).agg(F.max(label).alias("_toxic"))
-    order = F.xxhash64(F.lit(11), F.col(key))
-    some = known.where("_toxic = 1").orderBy(order, key).limit(positives)
-    some = some.unionByName(known.where("_toxic = 0").orderBy(order, key).limit(negatives))
-    sample = docs.select(key, text).join(F.broadcast(some), key).orderBy(key, text).collect()  # positives + negatives rows
-    return train([r[text] or "" for r in sample], [r["_toxic"] for r in sample])
+    known = known.select(F.col(key).alias("_key"), "_toxic")
+    counts = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
+    bounds = {1: positives, 0: negatives}
+    some = [hashed_sample(known.where(F.col("_toxic") == y), 1.1 * bound, counts.get(y, 0), "_key") for y, bound in bounds.items()]
+    wanted = F.broadcast(some[0].unionByName(some[1]))  # about 1.1 times the bounds
+    sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(wanted, "_key").collect()
+    sample.sort(key=lambda r: (zlib.crc32(str(r["_key"]).encode()), r["_text"] or ""))
+    sample = [r for y, bound in bounds.items() for r in [s for s in sample if s["_toxic"] == y][:bound]]
+    return train([r["_text"] or "" for r in sample], [r["_toxic"] for r in sample])
 
 
 def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
