@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import materialise
+from marquee.session import materialise, release
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -41,7 +41,9 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         mark = tuple(found)
         if not found[0]:
             break
-        now = materialise(_star(materialise(_star(now, small=False), "components-large"), small=True), "components-small")
+        large = materialise(_star(now, small=False), "components-large")
+        before, now = now, materialise(_star(large, small=True), "components-small")
+        release(before, large)
     return now.select(F.col("high").alias("node"), F.col("low").alias("root")).unionByName(
         now.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
     )

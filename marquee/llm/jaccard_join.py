@@ -16,7 +16,7 @@ Families, sizes and counts are the sort order in which the points are packed
 into leaf blocks.  Blocks meet themselves and their neighbour first; what is then
 not in its family's largest component meets all blocks of the family.  Inside a
 meeting small nodes are tried against each other, then points, and what survives
-is verified on the sets, unless both are connected already.
+is verified on the sets.
 
 Equal sets are one point from the start.  Inputs and results that need saying: a
 null text, one without words, or a null id has 0 shingles (null id: its own
@@ -28,54 +28,78 @@ compared by 64-bit hashes.
 
 from __future__ import annotations
 
-import gc
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.components import connected_components
-from marquee.llm.pair_merge import BoundedCache
 from marquee.llm.texts import steps
-from marquee.session import materialise
+from marquee.session import materialise, release
 
 GROUPS = 32  # dimensions of the points
 COUNTERS = 1 << 16  # hashed counters by which common shingles are told from rare ones
 CELL = 512  # members up to which a cell looks at pairs
-BLOCK = 512  # points in a leaf block
+BLOCK = 256  # points in a leaf block
 NODE = 16  # points in the smallest nodes
+COLUMNS = 8192  # shared shingles that one product takes
+MARKS = 1 << 22  # hashed marks by which a pass over the texts knows the documents it needs, half a megabyte
 
 
-@lru_cache(maxsize=1)
-def _words() -> BoundedCache:
-    gc.set_threshold(200_000, 20, 50)  # dictionaries of numbers hold no cycles
-    return BoundedCache(500_000)
+_WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
+
+
+def _mixed(h: np.ndarray, by: np.uint64) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * by
+    return h ^ (h >> np.uint64(29))
+
+
+def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, and the number of words of each text.
+
+    A word's hash is the sum of a random-looking number for each of its bytes at
+    its place, so all words of a batch are summed at once.
+    """
+    encoded = [t.encode() for t in texts]
+    raw = np.frombuffer(b"\n".join(encoded).lower() + b"\n", dtype=np.uint8)  # bytes: only A-Z become lower
+    white = _WHITE[raw]
+    first = ~white
+    first[1:] &= white[:-1]
+    starts = np.flatnonzero(first)
+    ends = np.cumsum(np.fromiter(map(len, encoded), dtype=np.int64, count=len(texts)) + 1)
+    words = np.diff(np.searchsorted(starts, ends), prepend=0)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), words
+    place = np.arange(len(raw))
+    place[starts[0] :] -= np.repeat(starts, np.diff(starts, append=len(raw)))
+    value = _mixed(raw.astype(np.uint64) + place.astype(np.uint64) * np.uint64(257) + _C, _A)
+    value[white] = 0
+    return _mixed(np.add.reduceat(value, starts), _B), words
 
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     """The sorted hashes of the distinct shingles of each text."""
-    known = _words()
-    known.make_room()
-    split = [t.encode().lower().split() for t in texts]  # bytes: only A-Z and ASCII white space count
-    for words in split:
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-    out = []
-    for words in split:
-        ids = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        width = min(size, len(ids))
-        if not width:
-            out.append(ids)
-            continue
-        h = np.full(len(ids) - width + 1, width, dtype=np.uint64)
+    if not texts:
+        return []
+    ids, words = _word_hashes(texts)
+
+    def shingles(ids: np.ndarray, width: int) -> np.ndarray:
+        h = np.full(max(0, len(ids) - width + 1), width, dtype=np.uint64)
         for i in range(width):
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + ids[i : len(ids) - width + 1 + i]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        out.append(np.unique(h ^ (h >> np.uint64(29))))
+            h = (h ^ (h >> np.uint64(29))) * _A + ids[i : len(ids) - width + 1 + i]
+        return _mixed(h, _C)
+
+    every = shingles(ids, size)
+    out, at = [], 0
+    for n in words.tolist():
+        if n >= size:
+            out.append(np.unique(every[at : at + n - size + 1]))
+        else:  # the whole text is one shingle, if it has words
+            out.append(shingles(ids[at : at + n], n) if n else np.zeros(0, dtype=np.uint64))
+        at += n
     return out
 
 
@@ -107,14 +131,14 @@ def _points(key: str, text: str, size: int, num: int, den: int, order: np.ndarra
                     counts.append(np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes())
                     keep = n + num * n // -den + 1 if n else 0  # n - ceil(t n) + 1
                     rare = np.lexsort((hashes, order[_bucket(hashes)]))[:keep]
-                    prefixes.append(hashes[rare].view(np.int64))
+                    prefixes.append((hashes[rare] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).slice(first, len(texts)).cast(pa.int64()), pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.binary()), pa.array(counts, pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]), pa.int32()),
-                            pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])),
+                            pa.array(np.concatenate([np.zeros(0, np.int32), *prefixes])),
                         ),
                     ],
                     names=["id", "n", "digest", "counts", "prefix"],
@@ -125,6 +149,8 @@ def _points(key: str, text: str, size: int, num: int, den: int, order: np.ndarra
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sums of coordinate minima of all pairs of two lists of points."""
+    if len(a) * len(b) <= 4096:
+        return np.minimum(a[:, None, :], b[None, :, :]).sum(axis=2, dtype=np.int64)
     total = np.zeros((len(a), len(b)), dtype=np.int64)
     for g in range(a.shape[1]):
         total += np.minimum(a[:, g][:, None], b[:, g][None, :])
@@ -137,130 +163,180 @@ def _enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: in
 
 
 def _groups_of(batches, columns: list[str]):
-    """Runs of rows with an equal first column, as lists of tuples, across batches."""
+    """Runs of rows with equal first two columns, as lists of tuples, across batches."""
     key, rows = None, []
     for batch in batches:
         for row in zip(*[batch.column(c).to_pylist() for c in columns]):
-            if row[0] != key:
+            if row[:2] != key:
                 if rows:
                     yield rows
-                key, rows = row[0], []
+                key, rows = row[:2], []
             rows.append(row)
     if rows:
         yield rows
 
 
-def _edge_batch(left: list[int], right: list[int]) -> pa.RecordBatch:
+def _edge_batch(left, right) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
+def _spanned(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges of a breadth-first tree of each component of a symmetric matrix."""
+    left, right, seen = [], [], np.zeros(len(near), dtype=bool)
+    for i in range(len(near)):
+        if not seen[i]:
+            seen[i], todo = True, [i]
+            while todo:
+                at = todo.pop()
+                new = np.flatnonzero(near[at] & ~seen).tolist()
+                seen[new] = True
+                left += [at] * len(new)
+                right += new
+                todo += new
+    return left, right
+
+
 def _cells(num: int, den: int):
-    """Per cell, edges that span its pairs with a bound high enough."""
+    """Edges that span the pairs of each cell with a bound high enough."""
 
-    def work(batches):
+    def joined(keys: np.ndarray, reps: np.ndarray, n: np.ndarray, points: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+        sizes = np.diff(starts, append=len(keys))
         left, right = [], []
-        for rows in _groups_of(batches, ["key", "rep", "n", "counts"]):
-            reps, n = [r[1] for r in rows], np.array([r[2] for r in rows])
-            points = np.stack([np.frombuffer(r[3], dtype="<i4") for r in rows])
-            near = _enough(_overlap(points, points), n, n, num, den)
-            seen = np.zeros(len(rows), dtype=bool)
-            for i in range(len(rows)):  # a breadth-first tree of each component
-                if seen[i]:
-                    continue
-                seen[i], todo = True, [i]
-                while todo:
-                    at = todo.pop()
-                    new = np.flatnonzero(near[at] & ~seen)
-                    seen[new] = True
-                    left += [reps[at]] * len(new)
-                    right += [reps[j] for j in new.tolist()]
-                    todo += new.tolist()
-            if len(left) > 20_000:
-                yield _edge_batch(left, right)
-                left, right = [], []
-        yield _edge_batch(left, right)
+        for size in np.unique(sizes[sizes > 1]).tolist():
+            here = starts[sizes == size]
+            if size <= 8:  # all pairs of all cells of one size at once
+                for i in range(size):
+                    for j in range(i):
+                        a, b = here + i, here + j
+                        good = np.minimum(points[a], points[b]).sum(axis=1) * (num + den) >= num * (n[a] + n[b])
+                        left.append(a[good])
+                        right.append(b[good])
+            else:
+                for at in here.tolist():
+                    own = slice(at, at + size)
+                    a, b = _spanned(_enough(_overlap(points[own], points[own]), n[own], n[own], num, den))
+                    left.append(np.array(a, dtype=np.int64) + at)
+                    right.append(np.array(b, dtype=np.int64) + at)
+        none = np.zeros(0, dtype=np.int64)
+        return _edge_batch(reps[np.concatenate([none, *left])], reps[np.concatenate([none, *right])])
+
+    def work(batches):
+        held = None
+        for batch in batches:
+            now = [
+                batch.column("key").to_numpy().astype(np.int64), batch.column("rep").to_numpy(), batch.column("n").to_numpy(),
+                np.frombuffer(b"".join(batch.column("counts").to_pylist()), dtype="<i4").reshape(-1, GROUPS),
+            ]
+            held = now if held is None else [np.concatenate(pair) for pair in zip(held, now)]
+            if not len(held[0]):
+                continue
+            last = int(np.flatnonzero(held[0] != held[0][-1])[-1]) + 1 if held[0][0] != held[0][-1] else 0
+            if last:  # the last cell may go on in the next batch
+                yield joined(*[c[:last] for c in held])
+                held = [c[last:] for c in held]
+        if held is not None and len(held[0]):
+            yield joined(*held)
 
     return work
 
 
-class _Meeting:
-    """Points that meet: bounds by node and point, verification by set, connected points skipped."""
-
-    def __init__(self, rows: list[tuple], num: int, den: int):
-        _, self.family, self.reps, n, counts, tokens, label, self.side = zip(*rows)
-        self.family, self.n = np.array(self.family), np.array(n)
-        self.points = np.stack([np.frombuffer(c, dtype="<i4") for c in counts])
-        self.sets = [np.frombuffer(t, dtype=np.uint64) for t in tokens]
-        self.root = np.unique(np.array(label), return_inverse=True)[1]
-        self.side = np.array(self.side)
-        self.num, self.den = num, den
-        self.edges: list[tuple[int, int]] = []
-
-    def verify(self, i: int, others: np.ndarray) -> None:
-        """Links point i with those of others that are similar enough."""
-        for at in range(0, len(others), 32):
-            chunk = others[at : at + 32]
-            chunk = chunk[self.root[chunk] != self.root[i]]
-            if not len(chunk):
-                continue
-            every = np.concatenate([self.sets[j] for j in chunk])
-            place = np.minimum(np.searchsorted(self.sets[i], every), len(self.sets[i]) - 1)
-            hits = np.concatenate([[0], np.cumsum(self.sets[i][place] == every)])
-            ends = np.cumsum(self.n[chunk])
-            common = hits[ends] - hits[ends - self.n[chunk]]
-            linked = common * (self.num + self.den) >= self.num * (self.n[i] + self.n[chunk])
-            for j in chunk[linked].tolist():
-                if self.root[i] != self.root[j]:
-                    self.root[self.root == self.root[j]] = self.root[i]
-                    self.edges.append((self.reps[i], self.reps[j]))
-
-    def run(self, cross: bool) -> list[tuple[int, int]]:
-        """Edges that span the links but those inside side 1; ``cross``: only points of different sides meet."""
-        order = np.lexsort((self.n, self.family, self.side))
-        nodes = np.split(order, np.arange(NODE, len(order), NODE))
-        corner = np.stack([self.points[x].max(axis=0) for x in nodes])
-        least = np.array([self.n[x].min() for x in nodes])
-        first, last = np.array([self.family[x].min() for x in nodes]), np.array([self.family[x].max() for x in nodes])
-        meet = _enough(_overlap(corner, corner), least, least, self.num, self.den)
-        meet &= (first[:, None] <= last[None, :]) & (first[None, :] <= last[:, None])
-        for a, b in zip(*np.nonzero(np.triu(meet))):
-            x, y = nodes[a], nodes[b]
-            overlap = _overlap(self.points[x], self.points[y])
-            good = _enough(overlap, self.n[x], self.n[y], self.num, self.den)
-            good &= (self.family[x][:, None] == self.family[y][None, :]) & (self.root[x][:, None] != self.root[y][None, :])
-            sides = self.side[x][:, None] + self.side[y][None, :]
-            good &= (sides == 1) if cross else (sides < 2)
-            if a == b:
-                good = np.triu(good, 1)
-            for i in np.flatnonzero(good.any(axis=1)):
-                others = np.flatnonzero(good[i])
-                self.verify(int(x[i]), y[others[np.argsort(-overlap[i][others])]])
-        return self.edges
-
-
-_MEETING = ["meeting", "family", "rep", "n", "counts", "tokens", "label", "side"]
+def _surviving(points: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Pairs of points that the tree cannot rule out: first by the corners of its nodes, then by the points."""
+    nodes = [slice(i, i + NODE) for i in range(0, len(n), NODE)]
+    corner = np.stack([points[x].max(axis=0) for x in nodes])
+    least = np.array([n[x].min() for x in nodes])
+    near = np.zeros((len(n), len(n)), dtype=bool)
+    for a, b in zip(*np.nonzero(np.triu(_enough(_overlap(corner, corner), least, least, num, den)))):
+        x, y = nodes[a], nodes[b]
+        near[x, y] = _enough(_overlap(points[x], points[y]), n[x], n[y], num, den)
+        near[y, x] = near[x, y].T
+    np.fill_diagonal(near, False)
+    return near
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets: products of their incidence with what two or more hold."""
+    every, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(counts > 1) - 1
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = counts[place] > 1
+    row, column = row[shared], column[place[shared]]
+    total = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        here = (column >= first) & (column < first + COLUMNS)
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[row[here], column[here] - first] = 1
+        total += (held @ held.T).astype(np.int64)
+    return total
+
+
+def _family_links(rows: list[tuple], num: int, den: int, cross: bool) -> tuple[list[int], list[int]]:
+    """Edges that span the links among points of one family that meet.
+
+    Points of side 1 are not compared with each other; ``cross``: only with side 0, and only other labels.
+    """
+    _, _, reps, n, counts, label, side, tokens = zip(*rows)
+    n, label, side = np.array(n), np.array(label), np.array(side)
+    points = np.stack([np.frombuffer(c, dtype="<i4") for c in counts])
+    near = _surviving(points, n, num, den)
+    sides = side[:, None] + side[None, :]
+    near &= ((sides == 1) & (label[:, None] != label[None, :])) if cross else sides < 2
+    some = np.flatnonzero(near.any(axis=1))
+    if not len(some):
+        return [], []
+    common = _common([np.frombuffer(tokens[i], dtype=np.uint64) for i in some])
+    linked = near[np.ix_(some, some)] & _enough(common, n[some], n[some], num, den)
+    left, right = _spanned(linked)
+    return [reps[some[i]] for i in left], [reps[some[i]] for i in right]
+
+
+def _with_sets(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``rows`` with the set of each; of documents with equal ids only the one the point is of."""
+    return rows.join(tokens, "rep").where(F.octet_length("tokens") == F.col("n") * 8)
+
+
+_MEETING = ["meeting", "family", "rep", "n", "counts", "label", "side", "tokens"]
 
 
 def _meet(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> DataFrame:
     def work(batches):
         for group in _groups_of(batches, _MEETING):
             if len(group) > 1:
-                edges = _Meeting(group, num, den).run(cross)
-                yield _edge_batch([a for a, _ in edges], [b for _, b in edges])
+                left, right = _family_links(group, num, den, cross)
+                yield _edge_batch(left, right)
 
     dealt = rows.select(*_MEETING).repartition("meeting").sortWithinPartitions("meeting", "family", "n", "rep")
-    return materialise(dealt.mapInArrow(work, "a bigint, b bigint"), name)
+    rows_setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = dealt.sparkSession.conf.get(rows_setting)
+    dealt.sparkSession.conf.set(rows_setting, "128")  # rows that hold whole sets travel few at a time
+    try:
+        return materialise(dealt.mapInArrow(work, "a bigint, b bigint"), name)
+    finally:
+        dealt.sparkSession.conf.set(rows_setting, before)
+
+
+def _mark(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(MARKS)) + 1
+
 
+def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
+    """Which hashed marks the ids have: an array of fixed size."""
+    parts = ids.groupBy(F.bitmap_bucket_number(_mark(column)).alias("part"))
+    bits = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(_mark(column))).alias("bits"))
+    out = np.zeros((MARKS // 32768, 32768), dtype=bool)
+    for row in bits.collect():  # a row for each 32768 marks
+        out[row["part"] - 1] = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8), bitorder="little")
+    return out.ravel()
 
-def _tokens(key: str, text: str, size: int):
+
+def _tokens(text: str, size: int, wanted: np.ndarray):
     def work(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(wanted[batch.column("mark").to_numpy() - 1], pa.bool_()))
             for first, texts in steps(batch, text):
                 raw = [s.tobytes() for s in shingle_sets(texts, size)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(first, len(texts)) for c in ("rep", "family", "n", "counts")] + [pa.array(raw, pa.binary())],
-                    names=["rep", "family", "n", "counts", "tokens"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column("rep").slice(first, len(texts)), pa.array(raw, pa.binary())], names=["rep", "tokens"])
 
     return work
 
@@ -274,7 +350,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     for row in counted.collect():  # COUNTERS rows at most
         order[row["bucket"]] = row["n"]
 
-    schema = "id bigint, n bigint, digest binary, counts binary, prefix array<bigint>"
+    schema = "id bigint, n bigint, digest binary, counts binary, prefix array<int>"
     signed = materialise(docs.mapInArrow(_points(key, text, size, num, den, order), schema), "jaccard-points")
     usable = signed.where("n > 0 AND id IS NOT NULL")
     reps = usable.groupBy("digest").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "counts", "prefix")])
@@ -287,40 +363,42 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     large = cells.where((F.col("members") > CELL) & (F.col("rep") != F.col("centre"))).select(F.col("rep").alias("a"), F.col("centre").alias("b"))
     small = cells.where(F.col("members") <= CELL).select("key", "rep").join(reps.select("rep", "n", "counts"), "rep")
     small = small.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_cells(num, den), "a bigint, b bigint")
-    families = connected_components(materialise(large.unionByName(small), "jaccard-cells"), "a", "b")
+    edges = materialise(large.unionByName(small), "jaccard-cells")
+    families = connected_components(edges, "a", "b")
     families = materialise(families.select(F.col("node").alias("rep"), F.col("root").alias("family")), "jaccard-families")
 
-    # Their sets, in the order in which leaf blocks are cut.
-    chosen = families.join(reps.select("rep", "n", "counts", "digest"), "rep")
-    source = docs.join(chosen, F.col(key) == F.col("rep")).select("rep", "family", "n", "counts", text)
-    sets = source.mapInArrow(_tokens(key, text, size), "rep bigint, family bigint, n bigint, counts binary, tokens binary")
-    sets = sets.where(F.octet_length("tokens") == F.col("n") * 8)  # of rows with equal ids only the set's own
+    # Their order, in which leaf blocks are cut, and their sets.
     by = ["family", "n", "counts", "rep"]
-    ranged = materialise(sets, "jaccard-tokens").repartitionByRange(*by).sortWithinPartitions(*by)
+    ranged = families.join(reps.select("rep", "n", "counts"), "rep").repartitionByRange(*by).sortWithinPartitions(*by)
     position = F.monotonically_increasing_id()
     ranged = ranged.withColumn("part", F.shiftright(position, 33).cast("long"))
     ranged = ranged.withColumn("block", F.floor(position.bitwiseAND((1 << 33) - 1) / BLOCK).cast("long"))
     ranged = materialise(ranged, "jaccard-blocks")
+    source = docs.select(F.col(key).cast("long").alias("rep"), text).where("rep IS NOT NULL").withColumn("mark", _mark("rep"))
+    tokens = source.mapInArrow(_tokens(text, size, _bitmap(families, "rep")), "rep bigint, tokens binary")
+    tokens = materialise(tokens, "jaccard-tokens")
+    release(edges)
 
     # A block and its neighbour: the next in its part, or the first of the next part with rows.
-    blocks = ranged.groupBy("part", "block").agg(F.count("*").alias("m"))
+    blocks = ranged.groupBy("part", "block").agg(F.max("family").alias("family"))
     ends = blocks.groupBy("part").agg(F.max("block").alias("last"))
     ends = ends.withColumn("after", F.lead("part").over(Window.orderBy("part")))  # a row for each part
     after = F.col("block") == F.col("last")
     meetings = blocks.join(ends, "part").select(
         F.concat_ws(":", "part", "block").alias("meeting"),
+        "family",  # the only one that can go on in the next block
         F.when(after, F.col("after")).otherwise(F.col("part")).alias("part"),
         F.when(after, F.lit(0)).otherwise(F.col("block") + 1).cast("long").alias("block"),
     )
     own = ranged.withColumn("meeting", F.concat_ws(":", "part", "block")).withColumn("side", F.lit(0))
-    next_to = ranged.join(meetings, ["part", "block"]).withColumn("side", F.lit(1))
+    next_to = ranged.join(meetings, ["part", "block", "family"]).withColumn("side", F.lit(1))
     first = own.unionByName(next_to).withColumn("label", F.col("rep"))
-    links = _meet(first, num, den, False, "jaccard-first")
+    links = _meet(_with_sets(first, tokens), num, den, False, "jaccard-first")
 
     # What is not in its family's largest component meets all blocks of the family.
     roots = connected_components(links, "a", "b").select(F.col("node").alias("rep"), F.col("root"))
     labelled = ranged.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
-    labelled = materialise(labelled.drop("tokens", "counts"), "jaccard-labels")
+    labelled = materialise(labelled.drop("counts"), "jaccard-labels")
     per = labelled.groupBy("family", "label").agg(F.count("*").alias("m"))
     main = per.groupBy("family").agg(F.max_by("label", F.struct("m", "label")).alias("main"), (F.sum("m") - F.max("m")).alias("strays"))
     main = main.where("strays > 0").withColumn("chunks", F.ceil(F.col("strays") / BLOCK).cast("int"))
@@ -330,13 +408,13 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     strays = labelled.join(main, "family").where(F.col("label") != F.col("main"))
     strays = strays.select("rep", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("chunk"))
     full = ranged.join(labelled.select("rep", "label"), "rep")
-    columns = ["family", "chunk", "part", "block", "rep", "n", "counts", "tokens", "label", "side"]
+    columns = ["family", "chunk", "part", "block", "rep", "n", "counts", "label", "side"]
     asking = full.join(strays, "rep").drop("part", "block").join(met, "family").withColumn("side", F.lit(1))
     chunks = main.select("family", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     answering = full.join(chunks, "family").withColumn("side", F.lit(0))
     second = asking.select(*columns).unionByName(answering.select(*columns))
     second = second.withColumn("meeting", F.concat_ws(":", "family", "chunk", "part", "block"))
-    more = _meet(second, num, den, True, "jaccard-second")
+    more = _meet(_with_sets(second, tokens), num, den, True, "jaccard-second")
 
     roots = connected_components(links.unionByName(more), "a", "b")
     by_set = reps.select("digest", "rep").join(roots, F.col("rep") == F.col("node"), "left")
