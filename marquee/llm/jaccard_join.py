@@ -42,9 +42,9 @@ from marquee.session import materialise, release
 GROUPS = 32  # dimensions of the points
 COUNTERS = 1 << 16  # hashed counters by which common shingles are told from rare ones
 CELL = 512  # members up to which a cell looks at pairs
-BLOCK = 256  # points in a leaf block
+BLOCK = 512  # points in a leaf block
 NODE = 16  # points in the smallest nodes
-COLUMNS = 8192  # shared shingles that one product takes
+COLUMNS = 4096  # shared shingles that one product takes
 MARKS = 1 << 22  # hashed marks by which a pass over the texts knows the documents it needs, half a megabyte
 
 
@@ -255,19 +255,28 @@ def _surviving(points: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndar
     return near
 
 
+def _places(shared: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where the members of a set stand among the shared ones."""
+    if not len(shared):
+        return np.zeros(0, dtype=np.int64)
+    place = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
+    return place[shared[place] == own]
+
+
 def _common(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets: products of their incidence with what two or more hold."""
-    every, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.cumsum(counts > 1) - 1
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    shared = counts[place] > 1
-    row, column = row[shared], column[place[shared]]
+    every = np.concatenate(sets)
+    every.sort()
+    shared = np.unique(every[1:][every[1:] == every[:-1]])
+    del every
+    held = [_places(shared, s) for s in sets]
+    row, column = np.repeat(np.arange(len(sets)), [len(h) for h in held]), np.concatenate(held)
     total = np.zeros((len(sets), len(sets)), dtype=np.int64)
     for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
         here = (column >= first) & (column < first + COLUMNS)
-        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
-        held[row[here], column[here] - first] = 1
-        total += (held @ held.T).astype(np.int64)
+        incidence = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        incidence[row[here], column[here] - first] = 1
+        total += (incidence @ incidence.T).astype(np.int64)
     return total
 
 
