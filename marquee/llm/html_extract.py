@@ -15,7 +15,8 @@ other containers, with boilerplate of known place, and labelled accordingly.
 Inputs and results that need saying: null or empty html, and a page without
 kept text, gives the empty string and 0 characters; broken markup is closed as
 browsers do for paragraphs and list items, stray ends are ignored, an open script
-or comment lasts to the end; equal rows give equal results; without any
+or comment lasts to the end, an svg that is empty or has no end hides nothing;
+equal rows give equal results; without any
 ``article`` or ``main`` in the sample the layouts alone are learnt from; an empty
 table gives no rows; further columns are not looked at.
 """
@@ -39,11 +40,12 @@ SAMPLE = 200  # pages that training uses, chosen by hash
 LAYOUTS = 4  # further layouts of each
 TREES, DEPTH, RATE, BINS = 40, 4, 0.25, 24
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|iframe|svg|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_WHITE = r"[ \t\n\f\r]"
+# The rest of a tag after its name: quotes delimit only what follows an equals sign.
+_REST = rf"""(?=[ \t\n\f\r/>])((?:[ \t\n\f\r/]++|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:{_WHITE}*+={_WHITE}*+(?:"[^"]*"|'[^']*'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*+)?+)?+)*+)>"""
+_TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^ \t\n\f\r/>]*+){_REST}", re.S)
+_SKIPPED = "script style noscript template title iframe svg textarea select".split()
+_ENDS = {name: re.compile(rf"</{name}{_REST}", re.I) for name in _SKIPPED}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|data-layout-mark)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
@@ -71,16 +73,27 @@ class Page:
             close_run()
             del stack[index:]
 
-        at = 0
-        for token in _TOKEN.finditer(source):
+        at, open_svg = 0, False
+        while token := _TOKEN.search(source, at):
             if token.start() > at:
                 piece = entities.unescape(source[at : token.start()])
                 run.append(piece)
                 links += len(piece.strip()) if in_link else 0
             at = token.end()
-            if token[3] is None:
+            if token[2] is None:
+                continue
+            name, ending = token[2].lower(), bool(token[1])
+            if name in _ENDS and not ending:
+                if name == "svg" and (open_svg or token[3].endswith("/")):
+                    continue
+                end = _ENDS[name].search(source, at)
+                if end:
+                    at = end.end()
+                elif name == "svg":
+                    open_svg = True
+                else:
+                    at = len(source)
                 continue
-            name, ending = token[3].lower(), bool(token[2])
             if name in _INLINE:
                 if name == "a":
                     in_link = not ending
@@ -113,7 +126,7 @@ class Page:
             if name in _VOID:
                 continue
             label, words = None, []
-            for found in _ATTRIBUTE.finditer(token[4]):
+            for found in _ATTRIBUTE.finditer(token[3]):
                 value = found[2] or found[3] or found[4] or ""
                 if found[1].lower() == "data-layout-mark":
                     label = {"0": 0, "1": 1}.get(value)

@@ -187,6 +187,23 @@ def test_main_text(spark):
     assert html_extract.fit(frame.limit(0)).extract(["<p>x</p>"]) == [""]
 
 
+def test_markup_hides_no_text():
+    cases = {
+        "<p>a</p><svg-icon name=x></svg-icon><p>b</p>": ["a", "b"],
+        "<title-bar>a</title-bar><select-box>b</select-box><template-x>c</template-x>": ["a", "b", "c"],
+        "<p>a <svg/> b</p><p>c</p>": ["a b", "c"],
+        "<p>a</p><svg class='x' /><svg viewBox='0 0 1 1'><text>no</text></svg><p>b</p>": ["a", "b"],
+        "<svg width=5><p>a</p><svg><p>b</p>": ["a", "b"],
+        "<p>a</p><!--><p>b</p><!---><p>c</p><!-- > no --><p>d</p>": ["a", "b", "c", "d"],
+        "<p title=it's>a</p><p>it's b</p>": ["a", "it's b"],
+        "<p title='a>b' id = \"c>d\">a</p>": ["a"],
+        "<p>a</p><script>'<p>no</p>'</script x><title>no</title\n><p>b</p>": ["a", "b"],
+        "<p>a</p><script><p>no</p>": ["a"],
+    }
+    for source, texts in cases.items():
+        assert [t for t in html_extract.Page(source).text if t] == texts, source
+
+
 def test_decoding_has_no_contradictions():
     rng = np.random.default_rng(1)
     page = html_extract.Page("<div><p>a</p><div><p>b</p><p>c</p></div></div><ul><li>d<li>e</ul>")
