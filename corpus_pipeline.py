@@ -48,11 +48,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @after_previous
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each component stays."""
-    found = jaccard_join.jaccard_components(docs, size=5, num=80, den=100)
-    roots = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(roots, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """The smallest doc_id of each component stays, with one text."""
+    return jaccard_join.first_of_components(docs, size=5, num=80, den=100)
 
 
 @after_previous

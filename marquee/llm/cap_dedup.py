@@ -194,9 +194,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
     one = valid.select(F.size("embedding").alias("n")).first()
     dim = one["n"] if one else 1
     valid = valid.where(F.size("embedding") == dim)
-    reps = valid.groupBy("label", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
+    reps = valid.groupBy("label", "embedding").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
+    reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "caps-vectors")  # ids may repeat, vectors do not
     kind = vectors.schema[label].dataType.simpleString()
-    coded = reps.mapInArrow(_code_rows, f"rep bigint, label {kind}, weight bigint, raw binary, filters array<int>")
+    coded = reps.drop("id").mapInArrow(_code_rows, f"rep bigint, label {kind}, weight bigint, raw binary, filters array<int>")
     coded = materialise(coded, "caps-coded")
 
     # Only buckets of two and more matter; those above the block size become pairs of blocks.
@@ -216,8 +217,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "rep", "root").select(F.col("node").alias("rep"), "root")
-    facts = reps.join(links, "rep", "left").join(roots, "rep", "left")
-    facts = facts.select("label", "embedding", "weight", "links", F.coalesce("root", "rep").alias("root"))
+    named = roots.join(reps.select("rep", "id"), "rep").groupBy("root").agg(F.min("id").alias("component_id"))
+    facts = reps.join(links, "rep", "left").join(roots.join(named, "root"), "rep", "left")
+    facts = facts.select("label", "embedding", "weight", "links", F.coalesce("component_id", "id").alias("root"))
     usable = rows.withColumn("_key", F.when(F.expr(_FINITE) & (F.size("embedding") == dim) & F.col("id").isNotNull(), F.col("embedding")))
     joined = usable.join(facts.withColumnRenamed("embedding", "_key"), ["label", "_key"], "left")
     component = F.coalesce("root", "id")

@@ -18,12 +18,13 @@ not in its family's largest component meets all blocks of the family.  Inside a
 meeting small nodes are tried against each other, then points, and what survives
 is verified on the sets.
 
-Equal sets are one point from the start.  Inputs and results that need saying: a
-null text, one without words, or a null id has 0 shingles (null id: its own
-count) and is linked with nothing; with fewer words than ``size`` the whole
-sequence is one shingle; equal rows and equal ids are rows of their own; an
-empty table gives no rows; further columns are not looked at.  Shingles are
-compared by 64-bit hashes.
+Equal sets are one point from the start, with a number of their own, so texts that
+share an id are nodes apart; a component is named by its smallest id at the end.
+Inputs and results that need saying: a null text, one without words, or a null id
+has 0 shingles (null id: its own count) and is linked with nothing; with fewer
+words than ``size`` the whole sequence is one shingle; equal rows and equal ids are
+rows of their own; an empty table gives no rows; further columns are not looked at.
+Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -124,6 +125,7 @@ def _points(key: str, text: str, size: int, num: int, den: int, order: np.ndarra
         for batch in batches:
             for first, texts in steps(batch, text):
                 sizes, digests, counts, prefixes = [], [], [], []
+                stamps = [hashlib.md5(t.encode()).digest() for t in texts]
                 for hashes in shingle_sets(texts, size):
                     n = len(hashes)
                     sizes.append(n)
@@ -135,13 +137,13 @@ def _points(key: str, text: str, size: int, num: int, den: int, order: np.ndarra
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).slice(first, len(texts)).cast(pa.int64()), pa.array(sizes, pa.int64()),
-                        pa.array(digests, pa.binary()), pa.array(counts, pa.binary()),
+                        pa.array(stamps, pa.binary()), pa.array(digests, pa.binary()), pa.array(counts, pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]), pa.int32()),
                             pa.array(np.concatenate([np.zeros(0, np.int32), *prefixes])),
                         ),
                     ],
-                    names=["id", "n", "digest", "counts", "prefix"],
+                    names=["id", "n", "stamp", "digest", "counts", "prefix"],
                 )
 
     return work
@@ -302,7 +304,7 @@ def _family_links(rows: list[tuple], num: int, den: int, cross: bool) -> tuple[l
 
 def _with_sets(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     """``rows`` with the set of each; of documents with equal ids only the one the point is of."""
-    return rows.join(tokens, "rep").where(F.octet_length("tokens") == F.col("n") * 8)
+    return rows.join(tokens, ["id", "digest"])
 
 
 _MEETING = ["meeting", "family", "rep", "n", "counts", "label", "side", "tokens"]
@@ -345,25 +347,28 @@ def _tokens(text: str, size: int, wanted: np.ndarray):
             batch = batch.filter(pa.array(wanted[batch.column("mark").to_numpy() - 1], pa.bool_()))
             for first, texts in steps(batch, text):
                 raw = [s.tobytes() for s in shingle_sets(texts, size)]
-                yield pa.RecordBatch.from_arrays([batch.column("rep").slice(first, len(texts)), pa.array(raw, pa.binary())], names=["rep", "tokens"])
+                digests = [hashlib.md5(s).digest() for s in raw]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(first, len(texts)), pa.array(digests, pa.binary()), pa.array(raw, pa.binary())],
+                    names=["id", "digest", "tokens"],
+                )
 
     return work
 
 
-def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) of each row; sets link when den * intersection >= num * union."""
-    spark = docs.sparkSession
+def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, stamp of the text, n, digest of the set) of each row, and (digest, root, component_id) of each set."""
     docs = docs.select(key, text)
     counted = docs.select(text).mapInArrow(_counters(text, size), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     order = np.zeros(COUNTERS, dtype=np.int64)
     for row in counted.collect():  # COUNTERS rows at most
         order[row["bucket"]] = row["n"]
 
-    schema = "id bigint, n bigint, digest binary, counts binary, prefix array<int>"
+    schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, prefix array<int>"
     signed = materialise(docs.mapInArrow(_points(key, text, size, num, den, order), schema), "jaccard-points")
     usable = signed.where("n > 0 AND id IS NOT NULL")
-    reps = usable.groupBy("digest").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "counts", "prefix")])
-    reps = materialise(reps, "jaccard-sets")
+    reps = usable.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "counts", "prefix")])
+    reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")  # ids may repeat, sets do not
 
     # Cells of sets that share a rare shingle, and the families they make.
     slots = reps.select(F.explode("prefix").alias("key"), "rep")
@@ -378,14 +383,16 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
 
     # Their order, in which leaf blocks are cut, and their sets.
     by = ["family", "n", "counts", "rep"]
-    ranged = families.join(reps.select("rep", "n", "counts"), "rep").repartitionByRange(*by).sortWithinPartitions(*by)
+    ranged = families.join(reps.select("rep", "id", "digest", "n", "counts"), "rep").repartitionByRange(*by).sortWithinPartitions(*by)
     position = F.monotonically_increasing_id()
     ranged = ranged.withColumn("part", F.shiftright(position, 33).cast("long"))
     ranged = ranged.withColumn("block", F.floor(position.bitwiseAND((1 << 33) - 1) / BLOCK).cast("long"))
     ranged = materialise(ranged, "jaccard-blocks")
-    source = docs.select(F.col(key).cast("long").alias("rep"), text).where("rep IS NOT NULL").withColumn("mark", _mark("rep"))
-    tokens = source.mapInArrow(_tokens(text, size, _bitmap(families, "rep")), "rep bigint, tokens binary")
+    source = docs.select(F.col(key).cast("long").alias("id"), text).where("id IS NOT NULL").withColumn("mark", _mark("id"))
+    tokens = source.mapInArrow(_tokens(text, size, _bitmap(ranged, "id")), "id bigint, digest binary, tokens binary")
     tokens = materialise(tokens, "jaccard-tokens")
+    if not tokens.groupBy("id", "digest").count().where("count > 1").isEmpty():  # repeated rows
+        tokens = materialise(tokens.dropDuplicates(["id", "digest"]), "jaccard-tokens-once")
     release(edges)
 
     # A block and its neighbour: the next in its part, or the first of the next part with rows.
@@ -407,7 +414,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     # What is not in its family's largest component meets all blocks of the family.
     roots = connected_components(links, "a", "b").select(F.col("node").alias("rep"), F.col("root"))
     labelled = ranged.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
-    labelled = materialise(labelled.drop("counts"), "jaccard-labels")
+    labelled = materialise(labelled.drop("counts", "id", "digest"), "jaccard-labels")
     per = labelled.groupBy("family", "label").agg(F.count("*").alias("m"))
     main = per.groupBy("family").agg(F.max_by("label", F.struct("m", "label")).alias("main"), (F.sum("m") - F.max("m")).alias("strays"))
     main = main.where("strays > 0").withColumn("chunks", F.ceil(F.col("strays") / BLOCK).cast("int"))
@@ -417,7 +424,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     strays = labelled.join(main, "family").where(F.col("label") != F.col("main"))
     strays = strays.select("rep", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("chunk"))
     full = ranged.join(labelled.select("rep", "label"), "rep")
-    columns = ["family", "chunk", "part", "block", "rep", "n", "counts", "label", "side"]
+    columns = ["family", "chunk", "part", "block", "rep", "id", "digest", "n", "counts", "label", "side"]
     asking = full.join(strays, "rep").drop("part", "block").join(met, "family").withColumn("side", F.lit(1))
     chunks = main.select("family", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     answering = full.join(chunks, "family").withColumn("side", F.lit(0))
@@ -426,8 +433,31 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     more = _meet(_with_sets(second, tokens), num, den, True, "jaccard-second")
 
     roots = connected_components(links.unionByName(more), "a", "b")
-    by_set = reps.select("digest", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    by_set = by_set.select("digest", F.coalesce("root", "rep").alias("root"))
+    named = roots.join(reps.select(F.col("rep").alias("node"), "id"), "node")
+    named = named.groupBy("root").agg(F.min("id").alias("component_id"))
+    linked = roots.join(named, "root")
+    by_set = reps.select("digest", "id", "rep").join(linked, F.col("rep") == F.col("node"), "left")
+    by_set = by_set.select("digest", F.coalesce("root", "rep").alias("root"), F.coalesce("component_id", "id").alias("component_id"))
     lonely = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("digest"))
-    joined = signed.select("id", "n", lonely.alias("digest")).join(by_set, "digest", "left")
-    return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
+    return signed.select("id", "stamp", "n", lonely.alias("digest")), by_set
+
+
+def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id) of each row; sets link when den * intersection >= num * union."""
+    signed, by_set = _components(docs, size, num, den, key, text)
+    joined = signed.join(by_set, "digest", "left")
+    return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def first_of_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one (key, text) of each component: the smallest key, of its texts that with the smallest md5.
+
+    Rows without id or words all stay; of rows with equal key and text one stays, without id all.
+    """
+    signed, by_set = _components(docs, size, num, den, key, text)
+    first = signed.join(by_set, "digest").groupBy("root").agg(F.min(F.struct("id", "stamp")).alias("first"))
+    first = first.select("first.*").unionByName(signed.where("digest IS NULL AND id IS NOT NULL").select("id", "stamp"))
+    stamp = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    found = docs.withColumns({"id of it": F.col(key).cast("long"), "stamp of it": stamp})
+    kept = found.join(first.toDF("id of it", "stamp of it"), ["id of it", "stamp of it"], "left_semi")
+    return kept.dropDuplicates([key, text]).select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -141,6 +141,31 @@ def copies():
     return rows
 
 
+def repeated_ids():
+    """Ids 5 and 8 have an unrelated text and one with a partner, 9 two similar ones that no smaller id joins."""
+    text = {name: " ".join(f"{name}{i}" for i in range(40)) for name in "abcdef"}
+    near = {name: t + " end" for name, t in text.items()}
+    return [(5, text["a"]), (5, text["b"]), (3, near["b"]), (9, text["c"]), (9, near["c"]), (9, text["c"]), (8, text["d"]), (8, text["e"]),
+            (8, text["e"].upper()), (12, near["e"]), (9, text["f"]), (9, ""), (9, None), (None, text["a"])]
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_repeated_ids_with_different_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rows = repeated_ids()
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()
+    order = lambda r: tuple(-1 if v is None else v for v in r)
+    assert sorted(map(tuple, found), key=order) == sorted(brute_jaccard(rows, 3, 90, 100), key=order)
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    eye = np.eye(16)
+    rows = [(5, eye[0]), (5, eye[1]), (3, eye[1] + 0.1 * eye[2]), (5, eye[4]), (7, eye[4] - 0.1 * eye[5]), (3, eye[7])]
+    rows = [(i, [float(v) for v in x], 0, "s") for i, x in rows]
+    got = [tuple(r) for r in cap_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()]
+    assert sorted(got) == sorted([(5, 0, 5, True), (5, 1, 3, False), (3, 1, 3, True), (5, 1, 5, True), (7, 1, 5, False), (3, 0, 3, True)])
+
+
 @pytest.mark.parametrize(("size", "num", "cell", "block"), [(3, 90, 512, 512), (3, 90, 2, 4), (5, 80, 4, 3)])
 def test_jaccard_components(spark, monkeypatch, size, num, cell, block):
     monkeypatch.setattr(jaccard_join, "CELL", cell)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from marquee.llm import html_extract, pii, toxicity
 from marquee.session import materialise
-from tests.llm.test_joins import brute_jaccard
+from tests.llm.test_joins import brute_jaccard, repeated_ids
 
 SF_DIR = "/root/testdata/sf0.001"
 FIXED = {
@@ -243,3 +243,14 @@ def test_pipeline_stages(spark):
                 full[r["sequence_id"]] = full.get(r["sequence_id"], 0) + r["length"]
             assert max(full.values()) <= 2048
         seen = out
+
+
+def test_one_text_of_each_group_stays(spark):
+    rows = repeated_ids()
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], (r["text"] or "-")[0].lower()) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(
+        [(5, "a"), (3, "b"), (9, "c"), (8, "d"), (8, "e"), (9, "f"), (9, "-"), (9, "-"), (None, "a")], key=str
+    )
