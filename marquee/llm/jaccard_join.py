@@ -14,9 +14,10 @@ bound is high enough are joined, and families are what is connected.  Joining to
 much is safe, losing a pair is not, so a cell too large for pairs is joined whole.
 Families, sizes and counts are the sort order in which the points are packed
 into leaf blocks.  Blocks meet themselves and their neighbour first; what is then
-not in its family's largest component meets all blocks of the family.  Inside a
-meeting small nodes are tried against each other, then points, and what survives
-is verified on the sets.
+not in its family's largest component, in chunks of the same order, meets the blocks
+of the family whose rectangle's upper corner and least size leave a link possible.
+Inside a meeting small nodes are tried against each other, then points; only what
+survives gets its set and is verified on it.
 
 Equal sets are one point from the start, with a number of their own, so texts that
 share an id are nodes apart; a component is named by its smallest id at the end.
@@ -282,17 +283,22 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def _candidates(counts, n, label, side, num: int, den: int, cross: bool) -> np.ndarray:
+    """Pairs of points of a meeting that are to be compared and not ruled out by their counts."""
+    n, label, side = np.array(n), np.array(label), np.array(side)
+    near = _surviving(np.stack([np.frombuffer(c, dtype="<i4") for c in counts]), n, num, den)
+    sides = side[:, None] + side[None, :]
+    return near & (((sides == 1) & (label[:, None] != label[None, :])) if cross else sides < 2)
+
+
 def _family_links(rows: list[tuple], num: int, den: int, cross: bool) -> tuple[list[int], list[int]]:
     """Edges that span the links among points of one family that meet.
 
     Points of side 1 are not compared with each other; ``cross``: only with side 0, and only other labels.
     """
     _, _, reps, n, counts, label, side, tokens = zip(*rows)
-    n, label, side = np.array(n), np.array(label), np.array(side)
-    points = np.stack([np.frombuffer(c, dtype="<i4") for c in counts])
-    near = _surviving(points, n, num, den)
-    sides = side[:, None] + side[None, :]
-    near &= ((sides == 1) & (label[:, None] != label[None, :])) if cross else sides < 2
+    n = np.array(n)
+    near = _candidates(counts, n, label, side, num, den, cross)
     some = np.flatnonzero(near.any(axis=1))
     if not len(some):
         return [], []
@@ -307,6 +313,55 @@ def _with_sets(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     return rows.join(tokens, ["id", "digest"])
 
 
+_BOUNDED = {"meeting": "string", "family": "bigint", "rep": "bigint", "id": "bigint", "digest": "binary", "n": "bigint", "counts": "binary",
+            "label": "bigint", "side": "int"}
+
+
+def _bounded(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> DataFrame:
+    """The points of each meeting that have another one there which the counts cannot rule out."""
+    at = list(_BOUNDED).index
+
+    def work(batches):
+        for group in _groups_of(batches, list(_BOUNDED)):
+            if len(group) > 1:
+                columns = list(zip(*group))
+                near = _candidates(columns[at("counts")], columns[at("n")], columns[at("label")], columns[at("side")], num, den, cross)
+                some = np.flatnonzero(near.any(axis=1)).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c[i] for i in some], pa.type_for_alias(_ARROW[k])) for c, k in zip(columns, _BOUNDED.values())], names=list(_BOUNDED)
+                )
+
+    dealt = rows.select(*_BOUNDED).repartition("meeting").sortWithinPartitions("meeting", "family", "n", "rep")
+    return materialise(dealt.mapInArrow(work, ", ".join(f"{c} {t}" for c, t in _BOUNDED.items())), name)
+
+
+_ARROW = {"string": "string", "bigint": "int64", "binary": "binary", "int": "int32"}
+
+
+def _corners(keys: list[str], corner_name: str, least_name: str):
+    """The upper corner and the least size of a group of points."""
+
+    def work(table: pa.Table) -> pa.Table:
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<i4").reshape(-1, GROUPS)
+        corner, least = counts.max(axis=0).tobytes(), min(table.column("n").to_pylist())
+        return pa.table({k: table.column(k).slice(0, 1) for k in keys} | {corner_name: pa.array([corner], pa.binary()), least_name: pa.array([least], pa.int64())})
+
+    return work
+
+
+def _within_reach(num: int, den: int):
+    """Pairs of chunk and block in which two points may link."""
+
+    def work(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<i4").reshape(-1, GROUPS) for c in ("corner", "other_corner"))
+            sizes = batch.column("least").to_numpy() + batch.column("other_least").to_numpy()
+            good = np.minimum(a, b).sum(axis=1, dtype=np.int64) * (num + den) >= num * sizes
+            yield batch.filter(pa.array(good, pa.bool_())).select(["family", "chunk", "part", "block"])
+
+    return work
+
+
 _MEETING = ["meeting", "family", "rep", "n", "counts", "label", "side", "tokens"]
 
 
@@ -409,27 +464,40 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     own = ranged.withColumn("meeting", F.concat_ws(":", "part", "block")).withColumn("side", F.lit(0))
     next_to = ranged.join(meetings, ["part", "block", "family"]).withColumn("side", F.lit(1))
     first = own.unionByName(next_to).withColumn("label", F.col("rep"))
+    first = _bounded(first, num, den, False, "jaccard-first-bounded")
     links = _meet(_with_sets(first, tokens), num, den, False, "jaccard-first")
 
-    # What is not in its family's largest component meets all blocks of the family.
+    # What is not in its family's largest component meets the blocks of the family within reach.
     roots = connected_components(links, "a", "b").select(F.col("node").alias("rep"), F.col("root"))
     labelled = ranged.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
     labelled = materialise(labelled.drop("counts", "id", "digest"), "jaccard-labels")
     per = labelled.groupBy("family", "label").agg(F.count("*").alias("m"))
     main = per.groupBy("family").agg(F.max_by("label", F.struct("m", "label")).alias("main"), (F.sum("m") - F.max("m")).alias("strays"))
-    main = main.where("strays > 0").withColumn("chunks", F.ceil(F.col("strays") / BLOCK).cast("int"))
+    main = main.where("strays > 0")
     met = labelled.join(main, "family").select("family", "part", "block").distinct()
     wide = met.groupBy("family").agg(F.count("*").alias("m")).where("m > 2")  # up to two blocks have met entirely
-    main = main.join(wide.select("family"), "family")
+    main = main.join(wide, "family").withColumn("run", F.ceil(F.col("m") / F.ceil(F.col("strays") / BLOCK)))  # blocks of a chunk
     strays = labelled.join(main, "family").where(F.col("label") != F.col("main"))
-    strays = strays.select("rep", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("chunk"))
-    full = ranged.join(labelled.select("rep", "label"), "rep")
+    strays = strays.select("rep", "family", "part", F.floor(F.col("block") / F.col("run")).alias("run"))
+    pieces = strays.groupBy("family", "part", "run").agg(F.ceil(F.count("*") / BLOCK).alias("pieces"))
+    piece = F.pmod(F.xxhash64("rep"), F.col("pieces"))
+    strays = strays.join(pieces, ["family", "part", "run"]).select("rep", F.concat_ws(":", "part", "run", piece).alias("chunk"))
+    full = ranged.join(main.select("family"), "family").join(labelled.select("rep", "label"), "rep")
+    asking = materialise(full.join(strays, "rep").drop("part", "block"), "jaccard-strays")
+    of_chunks = asking.select("family", "chunk", "n", "counts").groupBy("family", "chunk")
+    of_chunks = of_chunks.applyInArrow(_corners(["family", "chunk"], "corner", "least"), "family bigint, chunk string, corner binary, least bigint")
+    of_blocks = full.select("family", "part", "block", "n", "counts").groupBy("family", "part", "block")
+    of_blocks = of_blocks.applyInArrow(
+        _corners(["family", "part", "block"], "other_corner", "other_least"), "family bigint, part bigint, block bigint, other_corner binary, other_least bigint"
+    )
+    near = of_chunks.join(of_blocks, "family").mapInArrow(_within_reach(num, den), "family bigint, chunk string, part bigint, block bigint")
+    near = materialise(near, "jaccard-near")
     columns = ["family", "chunk", "part", "block", "rep", "id", "digest", "n", "counts", "label", "side"]
-    asking = full.join(strays, "rep").drop("part", "block").join(met, "family").withColumn("side", F.lit(1))
-    chunks = main.select("family", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    answering = full.join(chunks, "family").withColumn("side", F.lit(0))
+    asking = asking.join(near, ["family", "chunk"]).withColumn("side", F.lit(1))
+    answering = full.join(near, ["family", "part", "block"]).withColumn("side", F.lit(0))
     second = asking.select(*columns).unionByName(answering.select(*columns))
-    second = second.withColumn("meeting", F.concat_ws(":", "family", "chunk", "part", "block"))
+    second = second.withColumn("meeting", F.concat_ws("/", "family", "chunk", "part", "block"))
+    second = _bounded(second, num, den, True, "jaccard-second-bounded")
     more = _meet(_with_sets(second, tokens), num, den, True, "jaccard-second")
 
     roots = connected_components(links.unionByName(more), "a", "b")

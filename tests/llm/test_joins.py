@@ -158,6 +158,22 @@ def test_repeated_ids_with_different_texts(spark, monkeypatch, block):
     assert sorted(map(tuple, found), key=order) == sorted(brute_jaccard(rows, 3, 90, 100), key=order)
 
 
+def test_sets_go_only_to_points_within_reach(spark, monkeypatch):
+    """Texts whose counts rule each other out get no sets, in neither round; results are as by brute force."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    asked, inner = [], jaccard_join._with_sets
+    monkeypatch.setattr(jaccard_join, "_with_sets", lambda rows, tokens: asked.append(rows) or inner(rows, tokens))
+    counted = []
+    meet = jaccard_join._meet
+    monkeypatch.setattr(jaccard_join, "_meet", lambda rows, *rest: counted.append(asked[-1].count()) or meet(rows, *rest))
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(i, shared + " " + " ".join(f"t{j}" for j in range(k))) for i, k in enumerate([*range(0, 36, 2), *range(200, 900, 50)])]
+    monkeypatch.setattr(jaccard_join, "CELL", 4)  # a cell too large for pairs joins all of them to one family
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()
+    assert sorted(map(tuple, found)) == sorted(brute_jaccard(rows, 3, 90, 100))
+    assert len(counted) == 2 and counted[0] < 2 * len(rows) and counted[1] < len(rows)
+
+
 def test_repeated_ids_with_different_vectors(spark):
     eye = np.eye(16)
     rows = [(5, eye[0]), (5, eye[1]), (3, eye[1] + 0.1 * eye[2]), (5, eye[4]), (7, eye[4] - 0.1 * eye[5]), (3, eye[7])]
