@@ -14,6 +14,8 @@ COLUMNS = {
     "op6_ngram_jaccard_join": ("documents", "doc_id n_shingles component_id"),
     "op8_personal_data": ("documents", "doc_id n_email n_ip n_card n_phone base_sha256 spans"),
     "op9_toxicity": ("documents", "doc_id held_out score predicted"),
+    "op11_fill_in_middle": ("documents", "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256"),
+    "op13_warc": ("pages", "page_id payload_bytes payload_digest record_type refers_to"),
 }
 
 
@@ -33,4 +35,4 @@ def test_one_row_for_each_input_row(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
