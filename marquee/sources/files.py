@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from marquee.schema import REVIEW_SCHEMA
+from marquee.sources.split_csv import read_split_csv
 
 
 def read_reviews(
@@ -28,8 +29,8 @@ def read_reviews(
     fmt = fmt or _format_of(path)
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        # Quoted review texts hold line breaks and doubled quotes.
-        df = reader.csv(path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False)
+        # Quoted review texts hold line breaks and doubled quotes, and one file may be very large.
+        df = read_split_csv(spark, path, schema)
     elif fmt == "json":
         df = reader.json(path)
     elif fmt == "parquet":
