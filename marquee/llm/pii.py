@@ -3,9 +3,11 @@
 Four kinds are found by fixed patterns (the base).  Base spans are the seeds: the
 words beside them are lexical patterns, and patterns and identifiers form a
 graph.  Scores go to and fro over it: a pattern is worth the share of trusted
-identifiers of one kind among all the identifiers it stands beside, an unseen
-identifier is worth its best pattern; identifiers above the threshold are trusted
-in the next round.  Trusted unseen identifiers become further spans.
+identifiers of one kind among those it stands beside whose kind is known; unseen
+ones that may be of the kind and are not trusted yet count neither for nor against
+it.  An unseen identifier is worth its best pattern; identifiers above the threshold
+are trusted from the next round on, and rounds go on until none is added.  Trusted
+unseen identifiers become further spans.
 
 Everything is DataFrame expressions.  Positions come from splitting a text at a
 mark put around each match, and count code points, as Spark's ``length`` does.
@@ -31,7 +33,6 @@ from marquee.session import materialise
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 5  # distinct trusted identifiers that a pattern needs before it counts
 TRUST = 0.8  # score from which an unseen identifier is trusted
-ROUNDS = 3
 
 _MARK, _OTHER = "\ue000", "\ue001"  # a text's own marks become the other character: same length, no match
 _SPAN = "array<struct<kind:int,start:int,end:int,value:string,beside:array<string>>>"
@@ -149,31 +150,34 @@ def _annotated(docs: DataFrame, text: str) -> DataFrame:
     return found.withColumn("_base", F.col("_found.base")).withColumn("_unseen", F.col("_found.unseen")).drop("_found")
 
 
-def bootstrap(annotated: DataFrame, min_seeds: int = MIN_SEEDS, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(annotated: DataFrame, min_seeds: int = MIN_SEEDS, trust: float = TRUST) -> DataFrame:
     """(value, kind) of the unseen identifiers that the pattern-instance graph trusts."""
     seeds = annotated.select(F.explode("_base").alias("s")).select("s.kind", "s.value", F.explode("s.beside").alias("pattern"))
-    others = annotated.select(F.explode("_unseen").alias("s")).select(
-        F.explode(_shapes(F.col("s.value"))).alias("kind"), "s.value", F.col("s.beside").alias("beside")
-    )
+    others = annotated.select(F.explode("_unseen").alias("s")).select("s.value", "s.beside")
+    others = others.select(F.explode(_shapes(F.col("value"))).alias("kind"), "value", "beside")
     others = others.select("kind", "value", F.explode("beside").alias("pattern"))
-    edges = seeds.withColumn("seed", F.lit(1.0)).unionByName(others.withColumn("seed", F.lit(0.0)))
+    edges = seeds.withColumn("seed", F.lit(1)).unionByName(others.withColumn("seed", F.lit(0)))
     edges = edges.groupBy("pattern", "kind", "value").agg(F.max("seed").alias("seed"))
     edges = materialise(edges, "pii-edges")
+    # an identifier that may be of two kinds is one identifier of its pattern
+    sizes = edges.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("all"))
+    sizes = materialise(sizes, "pii-patterns")
     unseen = edges.where("seed = 0")
-    trusted = unseen.select("kind", "value").limit(0)
-    for number in range(rounds):
-        now = edges.join(trusted.withColumn("_on", F.lit(1.0)), ["kind", "value"], "left")
-        now = now.select("pattern", "kind", "value", F.greatest("seed", F.coalesce("_on", F.lit(0.0))).alias("score"))
-        by_kind = now.groupBy("pattern", "kind").agg(F.sum("score").alias("good"))
-        # an identifier that may be of two kinds is one identifier of its pattern
-        size = now.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("all"))
-        patterns = by_kind.where(F.col("good") >= min_seeds).join(size, "pattern")
-        patterns = patterns.select("pattern", "kind", (F.col("good") / F.col("all")).alias("worth")).where(F.col("worth") >= trust)
+    trusted = unseen.select("value", "kind").limit(0)
+    while True:
+        now = edges.join(trusted.withColumnRenamed("kind", "found"), "value", "left")
+        good = (F.col("seed") == 1) | F.coalesce(F.col("found") == F.col("kind"), F.lit(False))
+        open_ = (F.col("seed") == 0) & F.col("found").isNull()
+        by_kind = now.groupBy("pattern", "kind").agg(F.count_if(good).alias("good"), F.count_if(open_).alias("open"))
+        patterns = by_kind.where(F.col("good") >= min_seeds).join(sizes, "pattern")
+        patterns = patterns.select("pattern", "kind", (F.col("good") / (F.col("all") - F.col("open"))).alias("worth")).where(F.col("worth") >= trust)
         scored = unseen.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg(F.max("worth").alias("score"))
         best = F.max_by("kind", F.struct("score", -F.col("kind")))
-        trusted = scored.groupBy("value").agg(best.alias("kind")).select("kind", "value")
-        trusted = materialise(trusted, f"pii-trusted{number}")
-    return trusted
+        added = scored.join(trusted, "value", "left_anti").groupBy("value").agg(best.alias("kind"))
+        added = materialise(added, "pii-added")
+        if added.isEmpty():
+            return trusted
+        trusted = materialise(trusted.unionByName(added), "pii-trusted")
 
 
 def _extra(annotated: DataFrame, trusted: DataFrame) -> DataFrame:

@@ -72,6 +72,27 @@ def test_contexts_find_unseen_identifiers(spark):
     assert clean[50] == "Please call me at <phone> soon" and clean[51] == unseen[1][1]
 
 
+@pytest.mark.parametrize("n", [25, 26, 2000])
+def test_many_unseen_identifiers_do_not_count_against_their_pattern(spark, n):
+    seeds = [(i, f"then call me at +1 (988) 555-{2000 + i} soon") for i in range(100)]
+    unseen = [(1000 + i, f"then call me at 0988 555 {1000 + i} soon") for i in range(n)]
+    mixed = [(5000 + i, f"see row +1 (988) 556-{2000 + i}") for i in range(6)] + [(5100 + i, f"see row 10.0.0.{i}") for i in range(6)]
+    docs = spark.createDataFrame(seeds + unseen + mixed + [(6000, "see row 0988 555 0001")], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.span_digest(docs).collect()}
+    assert all(got[i] == "phone:16:29" for i, _ in unseen)
+    assert got[6000] == ""  # its pattern stands beside two kinds alike
+
+
+def test_rounds_go_on_until_nothing_is_added(spark):
+    words = ["dial", "ring", "line", "reach", "desk", "front", "back"]
+    rows = [f"dial +1 (988) 555-{2000 + i}" for i in range(5)]
+    for step, (word, after) in enumerate(zip(words, words[1:])):  # each word's numbers stand beside the next word too
+        rows += [f"{w} 0988 55{step} {1000 + i}" for i in range(5) for w in (word, after)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.span_digest(docs).collect()}
+    assert all(got[i].startswith("phone:") for i in range(len(rows)))
+
+
 def test_redact_keeps_rows_and_columns(spark):
     rows = [(1, "x a@b.co, 1.2.3.4", "k"), (2, None, "k"), (None, "", None), (1, "x a@b.co, 1.2.3.4", "k"), (3, "+4703443633947811", "é")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _base string")
