@@ -8,16 +8,23 @@ of nodes.
 
 In so many dimensions the rectangles of unrelated texts all overlap, so one tree
 over everything would try every pair of nodes.  The points are therefore dealt to
-families first.  Two sets that are similar enough share one of their rarest
-``n - ceil(t n) + 1`` shingles; sets that share one meet in a cell, pairs whose
-bound is high enough are joined, and families are what is connected.  Joining too
-much is safe, losing a pair is not, so a cell too large for pairs is joined whole.
+families first.  Sets that are similar enough differ by ``d`` shingles at most, by
+their sizes; hashed to ``d + 1`` groups, or some more, they agree in the whole
+content of one.  Shared passages hardly make a group agree, near copies do.  Sizes
+are dealt to levels that overlap, with groups for the largest ``d`` of each.  A
+level with ``e`` further groups leaves ``1 + e`` that agree, so a set with up to
+``e`` empty groups need not be found by these.  Sets that agree meet in a cell,
+pairs whose bound is high enough are joined, and families are what is connected.
+Joining too much is safe, losing a pair is not, so a cell too large for pairs is
+joined whole.
 Families, sizes and counts are the sort order in which the points are packed
 into leaf blocks.  Blocks meet themselves and their neighbour first; what is then
 not in its family's largest component, in chunks of the same order, meets the blocks
 of the family whose rectangle's upper corner and least size leave a link possible.
-Inside a meeting small nodes are tried against each other, then points; only what
-survives gets its set and is verified on it.
+Inside a meeting small nodes are tried against each other, then points, then
+finer counts of the points that are left, in so many groups that one holds about
+four shingles (in 32 groups two long texts look alike); only what survives that
+gets its set and is verified on it.
 
 Equal sets are one point from the start, with a number of their own, so texts that
 share an id are nodes apart; a component is named by its smallest id at the end.
@@ -31,9 +38,12 @@ Shingles are compared by 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,10 +52,11 @@ from marquee.llm.texts import steps
 from marquee.session import materialise, release
 
 GROUPS = 32  # dimensions of the points
-COUNTERS = 1 << 16  # hashed counters by which common shingles are told from rare ones
+STEP = 1.25  # from the differing shingles of a level to those of the next
 CELL = 512  # members up to which a cell looks at pairs
 BLOCK = 512  # points in a leaf block
 NODE = 16  # points in the smallest nodes
+FINE_ROWS = 256  # points whose finer counts are compared with one at once
 COLUMNS = 4096  # shared shingles that one product takes
 MARKS = 1 << 22  # hashed marks by which a pass over the texts knows the documents it needs, half a megabyte
 
@@ -105,51 +116,111 @@ def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     return out
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(48)).astype(np.int64) % COUNTERS
+def _spare(apart: int, n: float) -> int:
+    """How many further groups a level gets: as many as its smallest sets, of ``n`` shingles, mostly have empty groups.
 
-
-def _counters(text: str, size: int):
-    def work(batches):
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for batch in batches:
-            for _, texts in steps(batch, text):
-                total += np.bincount(_bucket(np.concatenate(shingle_sets(texts, size))), minlength=COUNTERS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["bucket", "n"])
-
-    return work
-
-
-def _points(key: str, text: str, size: int, num: int, den: int, order: np.ndarray):
+    With few shingles there may be no such number; then the one that comes closest.
+    """
+    best, least = 0, float("inf")
+    for spare in range(apart + 2):
+        groups = apart + 1 + spare
+        empty = groups * (1 - 1 / groups) ** n
+        missing = empty + 2 * empty**0.5 - 0.5 - spare
+        if missing <= 0:
+            return spare
+        if missing < least:
+            best, least = spare, missing
+    return best
+
+
+def _levels(num: int, den: int) -> Iterator[tuple[int, int]]:
+    """(differing shingles at most, further groups) of each level, without end."""
+    apart = 0
+    while True:
+        before, apart = apart, max(apart + 1, int(apart * STEP))
+        yield apart, _spare(apart, (before + 1) * (den + num) / (den - num) / 2)
+
+
+class Contents:
+    """Keys of what a set has in its groups, at every level of sizes at which it can have a partner."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+        self.made = _levels(num, den)
+        self.apart, self.spare, self.edges = [], [], []
+
+    def apart_at_most(self, both: int) -> int:
+        """By how many shingles two similar sets of that many together can differ."""
+        return both * (self.den - self.num) // (self.den + self.num)
+
+    def level(self, apart: int) -> int:
+        while not self.apart or self.apart[-1] < apart:
+            most, spare = next(self.made)
+            groups = most + 1 + spare
+            self.apart.append(most)
+            self.spare.append(spare)
+            self.edges.append(np.array([(i << 64) // groups for i in range(1, groups)], dtype=np.uint64))
+        return bisect_left(self.apart, apart)
+
+    def keys(self, hashes: np.ndarray) -> np.ndarray:
+        """``hashes`` are sorted, and a group is a range of them, so a group's content is a slice."""
+        n = len(hashes)
+        low = self.apart_at_most(n - (-self.num * n // self.den))
+        high = self.apart_at_most(n + self.den * n // self.num)
+        if not high:
+            return np.zeros(0, dtype=np.int64)  # only equal sets are similar, and they are one point
+        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(hashes, _B), dtype=np.uint64)])
+        out = []
+        for level in range(self.level(max(low, 1)), self.level(high) + 1):
+            cut = np.concatenate([[0], np.searchsorted(hashes, self.edges[level]), [n]])
+            group = np.arange(len(cut) - 1, dtype=np.uint64)
+            key = _mixed(mixed[cut[1:]] - mixed[cut[:-1]] + (group + np.uint64(level << 32)) * _C, _A)
+            filled = cut[1:] > cut[:-1]
+            out.append(key[filled] if len(filled) - np.count_nonzero(filled) <= self.spare[level] else key)
+        return np.concatenate(out).view(np.int64)
+
+
+def _points(key: str, text: str, size: int, num: int, den: int):
     def work(batches):
+        contents = Contents(num, den)
         for batch in batches:
             for first, texts in steps(batch, text):
-                sizes, digests, counts, prefixes = [], [], [], []
+                sizes, digests, counts, fine, keys = [], [], [], [], []
                 stamps = [hashlib.md5(t.encode()).digest() for t in texts]
                 for hashes in shingle_sets(texts, size):
                     n = len(hashes)
                     sizes.append(n)
                     digests.append(hashlib.md5(hashes.tobytes()).digest())
-                    counts.append(np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes())
-                    keep = n + num * n // -den + 1 if n else 0  # n - ceil(t n) + 1
-                    rare = np.lexsort((hashes, order[_bucket(hashes)]))[:keep]
-                    prefixes.append((hashes[rare] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
+                    finer = _fine(hashes)
+                    counts.append(_folded(finer, GROUPS).astype("<i4").tobytes())
+                    fine.append(finer.astype("<u2").tobytes())
+                    keys.append(contents.keys(hashes) if n else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).slice(first, len(texts)).cast(pa.int64()), pa.array(sizes, pa.int64()),
-                        pa.array(stamps, pa.binary()), pa.array(digests, pa.binary()), pa.array(counts, pa.binary()),
+                        pa.array(stamps, pa.binary()), pa.array(digests, pa.binary()), pa.array(counts, pa.binary()), pa.array(fine, pa.binary()),
                         pa.ListArray.from_arrays(
-                            pa.array(np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]), pa.int32()),
-                            pa.array(np.concatenate([np.zeros(0, np.int32), *prefixes])),
+                            pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]), pa.int32()),
+                            pa.array(np.concatenate([np.zeros(0, np.int64), *keys])),
                         ),
                     ],
-                    names=["id", "n", "stamp", "digest", "counts", "prefix"],
+                    names=["id", "n", "stamp", "digest", "counts", "fine", "keys"],
                 )
 
     return work
 
 
+def _fine(hashes: np.ndarray) -> np.ndarray:
+    """Counts in so many groups, a power of two, that one holds about four shingles."""
+    groups = max(GROUPS, 1 << max(0, len(hashes) // 4).bit_length())
+    return np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
+def _folded(fine: np.ndarray, groups: int) -> np.ndarray:
+    """The same counts in fewer groups."""
+    return fine.reshape(-1, groups).sum(axis=0)
+
+
 def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sums of coordinate minima of all pairs of two lists of points."""
     if len(a) * len(b) <= 4096:
@@ -199,6 +270,53 @@ def _spanned(near: np.ndarray) -> tuple[list[int], list[int]]:
     return left, right
 
 
+def _runs(batches):
+    """Of sorted slots those whose key is not alone.
+
+    A run of up to ``CELL`` is given as it is.  Of a longer one, and of the first and last of a
+    part, which may go on in the next part, each is given with the run's first as ``centre``; of
+    the first and last also the part.
+    """
+    part, held, done = TaskContext.get().partitionId(), None, False
+
+    def given(keys, reps, border: bool):
+        """Rows of whole runs; ``border``: of a run at the border of the part."""
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sizes = np.diff(starts, append=len(keys))
+        long, members = np.repeat((sizes > CELL) | border, sizes), np.repeat(sizes, sizes)
+        keep = (members > 1) | border
+        centre = np.repeat(reps[starts], sizes)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[keep]), pa.array(reps[keep]), pa.array(np.full(keep.sum(), part, np.int32), mask=np.full(keep.sum(), not border)),
+             pa.array(centre[keep], mask=~long[keep])],
+            names=["key", "rep", "part", "centre"],
+        )
+
+    for batch in batches:
+        now = [batch.column("key").to_numpy(), batch.column("rep").to_numpy()]
+        held = now if held is None else [np.concatenate(pair) for pair in zip(held, now)]
+        if not len(held[0]):
+            continue
+        if not done:  # the first run
+            own = held[0] == held[0][0]
+            if own.all():
+                if len(own) > CELL:  # what is given stays connected to the first
+                    yield given(*held, True)
+                    held = [c[:1] for c in held]
+                continue
+            yield given(*[c[own] for c in held], True)
+            held, done = [c[~own] for c in held], True
+        last = held[0] == held[0][-1]
+        if not last.all():
+            yield given(*[c[~last] for c in held], False)
+            held = [c[last] for c in held]
+        elif len(last) > 2 * CELL:
+            yield given(*held, False)
+            held = [c[: CELL + 1] for c in held]  # so that it is a long run to its end
+    if held is not None and len(held[0]):
+        yield given(*held, True)
+
+
 def _cells(num: int, den: int):
     """Edges that span the pairs of each cell with a bound high enough."""
 
@@ -228,7 +346,7 @@ def _cells(num: int, den: int):
         held = None
         for batch in batches:
             now = [
-                batch.column("key").to_numpy().astype(np.int64), batch.column("rep").to_numpy(), batch.column("n").to_numpy(),
+                batch.column("key").to_numpy(), batch.column("rep").to_numpy(), batch.column("n").to_numpy(),
                 np.frombuffer(b"".join(batch.column("counts").to_pylist()), dtype="<i4").reshape(-1, GROUPS),
             ]
             held = now if held is None else [np.concatenate(pair) for pair in zip(held, now)]
@@ -283,12 +401,34 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _candidates(counts, n, label, side, num: int, den: int, cross: bool) -> np.ndarray:
-    """Pairs of points of a meeting that are to be compared and not ruled out by their counts."""
+def _thinned(near: np.ndarray, fine: list[bytes], n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Those of the pairs that the finer counts leave; of two points the finer one is folded to the groups of the other."""
+    points = [np.frombuffer(f, dtype="<u2") for f in fine]
+    groups = np.array([len(p) for p in points])
+    out = np.zeros_like(near)
+    for width in np.unique(groups[near.any(axis=1)]).tolist():
+        own = groups == width
+        wider = np.flatnonzero((groups >= width) & near[own].any(axis=0) | own)
+        place = np.full(len(n), -1)
+        place[wider] = np.arange(len(wider))
+        folded = np.stack([_folded(points[i], width) if groups[i] > width else points[i] for i in wider]).astype(np.uint32)
+        for i in np.flatnonzero(own).tolist():
+            other = np.flatnonzero(near[i] & (groups >= width))
+            for first in range(0, len(other), FINE_ROWS):
+                some = other[first : first + FINE_ROWS]
+                overlap = np.minimum(folded[place[i]], folded[place[some]]).sum(axis=1, dtype=np.int64)
+                good = some[overlap * (num + den) >= num * (n[i] + n[some])]
+                out[i, good] = out[good, i] = True
+    return out
+
+
+def _candidates(counts, fine, n, label, side, num: int, den: int, cross: bool) -> np.ndarray:
+    """Pairs of points of a meeting that are to be compared and not ruled out by their counts, the finer ones too if given."""
     n, label, side = np.array(n), np.array(label), np.array(side)
     near = _surviving(np.stack([np.frombuffer(c, dtype="<i4") for c in counts]), n, num, den)
     sides = side[:, None] + side[None, :]
-    return near & (((sides == 1) & (label[:, None] != label[None, :])) if cross else sides < 2)
+    near &= ((sides == 1) & (label[:, None] != label[None, :])) if cross else sides < 2
+    return near if fine is None else _thinned(near, fine, n, num, den)
 
 
 def _family_links(rows: list[tuple], num: int, den: int, cross: bool) -> tuple[list[int], list[int]]:
@@ -298,7 +438,7 @@ def _family_links(rows: list[tuple], num: int, den: int, cross: bool) -> tuple[l
     """
     _, _, reps, n, counts, label, side, tokens = zip(*rows)
     n = np.array(n)
-    near = _candidates(counts, n, label, side, num, den, cross)
+    near = _candidates(counts, None, n, label, side, num, den, cross)
     some = np.flatnonzero(near.any(axis=1))
     if not len(some):
         return [], []
@@ -319,20 +459,32 @@ _BOUNDED = {"meeting": "string", "family": "bigint", "rep": "bigint", "id": "big
 
 def _bounded(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> DataFrame:
     """The points of each meeting that have another one there which the counts cannot rule out."""
-    at = list(_BOUNDED).index
+    columns_of = [*_BOUNDED, "fine"]
+    at = columns_of.index
 
     def work(batches):
-        for group in _groups_of(batches, list(_BOUNDED)):
+        for group in _groups_of(batches, columns_of):
             if len(group) > 1:
                 columns = list(zip(*group))
-                near = _candidates(columns[at("counts")], columns[at("n")], columns[at("label")], columns[at("side")], num, den, cross)
+                near = _candidates(*[columns[at(c)] for c in ("counts", "fine", "n", "label", "side")], num, den, cross)
                 some = np.flatnonzero(near.any(axis=1)).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c[i] for i in some], pa.type_for_alias(_ARROW[k])) for c, k in zip(columns, _BOUNDED.values())], names=list(_BOUNDED)
                 )
 
-    dealt = rows.select(*_BOUNDED).repartition("meeting").sortWithinPartitions("meeting", "family", "n", "rep")
-    return materialise(dealt.mapInArrow(work, ", ".join(f"{c} {t}" for c, t in _BOUNDED.items())), name)
+    dealt = rows.select(*columns_of).repartition("meeting").sortWithinPartitions("meeting", "family", "n", "rep")
+    return _few_at_a_time(dealt.mapInArrow(work, ", ".join(f"{c} {t}" for c, t in _BOUNDED.items())), 1024, name)
+
+
+def _few_at_a_time(result: DataFrame, rows: int, name: str) -> DataFrame:
+    """Stores what Python workers make of wide rows, so many of which travel in a batch."""
+    conf, setting = result.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(rows))
+    try:
+        return materialise(result, name)
+    finally:
+        conf.set(setting, before)
 
 
 _ARROW = {"string": "string", "bigint": "int64", "binary": "binary", "int": "int32"}
@@ -373,13 +525,7 @@ def _meet(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> DataFr
                 yield _edge_batch(left, right)
 
     dealt = rows.select(*_MEETING).repartition("meeting").sortWithinPartitions("meeting", "family", "n", "rep")
-    rows_setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = dealt.sparkSession.conf.get(rows_setting)
-    dealt.sparkSession.conf.set(rows_setting, "128")  # rows that hold whole sets travel few at a time
-    try:
-        return materialise(dealt.mapInArrow(work, "a bigint, b bigint"), name)
-    finally:
-        dealt.sparkSession.conf.set(rows_setting, before)
+    return _few_at_a_time(dealt.mapInArrow(work, "a bigint, b bigint"), 128, name)
 
 
 def _mark(column: str):
@@ -414,23 +560,22 @@ def _tokens(text: str, size: int, wanted: np.ndarray):
 def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(id, stamp of the text, n, digest of the set) of each row, and (digest, root, component_id) of each set."""
     docs = docs.select(key, text)
-    counted = docs.select(text).mapInArrow(_counters(text, size), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    order = np.zeros(COUNTERS, dtype=np.int64)
-    for row in counted.collect():  # COUNTERS rows at most
-        order[row["bucket"]] = row["n"]
 
-    schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, prefix array<int>"
-    signed = materialise(docs.mapInArrow(_points(key, text, size, num, den, order), schema), "jaccard-points")
+    schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, fine binary, keys array<bigint>"
+    signed = materialise(docs.mapInArrow(_points(key, text, size, num, den), schema), "jaccard-points")
     usable = signed.where("n > 0 AND id IS NOT NULL")
-    reps = usable.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "counts", "prefix")])
+    reps = usable.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "counts", "fine", "keys")])
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")  # ids may repeat, sets do not
 
-    # Cells of sets that share a rare shingle, and the families they make.
-    slots = reps.select(F.explode("prefix").alias("key"), "rep")
-    cells = slots.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("centre")).where("members > 1")
-    cells = slots.join(cells, "key")
-    large = cells.where((F.col("members") > CELL) & (F.col("rep") != F.col("centre"))).select(F.col("rep").alias("a"), F.col("centre").alias("b"))
-    small = cells.where(F.col("members") <= CELL).select("key", "rep").join(reps.select("rep", "n", "counts"), "rep")
+    # Cells of sets with the same content of a group, and the families they make.
+    slots = reps.select(F.explode("keys").alias("key"), "rep").repartitionByRange("key", "rep").sortWithinPartitions("key", "rep")
+    met = materialise(slots.mapInArrow(_runs, "key bigint, rep bigint, part int, centre bigint"), "jaccard-slots")
+    large = met.where("centre IS NOT NULL").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+    ends = met.where("part IS NOT NULL").groupBy("part", "key").agg(F.min("rep").alias("rep"))  # up to two a part
+    beside = F.lag("key").over(Window.orderBy("key", "part")) == F.col("key")
+    ends = ends.select(beside.alias("same"), F.col("rep").alias("a"), F.lag("rep").over(Window.orderBy("key", "part")).alias("b"))
+    large = large.unionByName(ends.where("same").select("a", "b"))
+    small = met.where("centre IS NULL AND part IS NULL").select("key", "rep").join(reps.select("rep", "n", "counts"), "rep")
     small = small.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_cells(num, den), "a bigint, b bigint")
     edges = materialise(large.unionByName(small), "jaccard-cells")
     families = connected_components(edges, "a", "b")
@@ -438,7 +583,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
 
     # Their order, in which leaf blocks are cut, and their sets.
     by = ["family", "n", "counts", "rep"]
-    ranged = families.join(reps.select("rep", "id", "digest", "n", "counts"), "rep").repartitionByRange(*by).sortWithinPartitions(*by)
+    ranged = families.join(reps.select("rep", "id", "digest", "n", "counts", "fine"), "rep").repartitionByRange(*by).sortWithinPartitions(*by)
     position = F.monotonically_increasing_id()
     ranged = ranged.withColumn("part", F.shiftright(position, 33).cast("long"))
     ranged = ranged.withColumn("block", F.floor(position.bitwiseAND((1 << 33) - 1) / BLOCK).cast("long"))
@@ -470,7 +615,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     # What is not in its family's largest component meets the blocks of the family within reach.
     roots = connected_components(links, "a", "b").select(F.col("node").alias("rep"), F.col("root"))
     labelled = ranged.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
-    labelled = materialise(labelled.drop("counts", "id", "digest"), "jaccard-labels")
+    labelled = materialise(labelled.drop("counts", "fine", "id", "digest"), "jaccard-labels")
     per = labelled.groupBy("family", "label").agg(F.count("*").alias("m"))
     main = per.groupBy("family").agg(F.max_by("label", F.struct("m", "label")).alias("main"), (F.sum("m") - F.max("m")).alias("strays"))
     main = main.where("strays > 0")
@@ -492,7 +637,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     )
     near = of_chunks.join(of_blocks, "family").mapInArrow(_within_reach(num, den), "family bigint, chunk string, part bigint, block bigint")
     near = materialise(near, "jaccard-near")
-    columns = ["family", "chunk", "part", "block", "rep", "id", "digest", "n", "counts", "label", "side"]
+    columns = ["family", "chunk", "part", "block", "rep", "id", "digest", "n", "counts", "fine", "label", "side"]
     asking = asking.join(near, ["family", "chunk"]).withColumn("side", F.lit(1))
     answering = full.join(near, ["family", "part", "block"]).withColumn("side", F.lit(0))
     second = asking.select(*columns).unionByName(answering.select(*columns))

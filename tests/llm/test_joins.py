@@ -203,6 +203,36 @@ def test_the_bound_is_never_below_the_intersection():
     assert all(bound[a, b] >= len(np.intersect1d(sets[a], sets[b])) for a in range(len(sets)) for b in range(a))
 
 
+def test_finer_counts_keep_every_link_and_drop_long_strangers():
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (40, 127, 128, 520, 9000):
+        base = rng.integers(1 << 62, size=n, dtype=np.uint64)
+        sets += [np.unique(base), np.unique(base[: n - n // 25]), np.unique(np.append(base, base[: n // 22] + np.uint64(1)))]
+        sets.append(np.unique(rng.integers(1 << 62, size=n, dtype=np.uint64)))
+    n = np.array([len(s) for s in sets])
+    common = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    linked = jaccard_join._enough(common, n, n, 90, 100) & ~np.eye(len(n), dtype=bool)
+    fine = [jaccard_join._fine(s) for s in sets]
+    coarse = np.stack([jaccard_join._folded(f, 32) for f in fine])
+    near = jaccard_join._surviving(coarse, n, 90, 100)
+    assert near[-1, -4]  # in few groups long strangers look alike
+    assert (jaccard_join._thinned(near, [f.astype("<u2").tobytes() for f in fine], n, 90, 100) == linked).all() and linked.sum() >= 20
+
+
+@pytest.mark.parametrize("num", [50, 80, 90, 97])
+def test_similar_sets_share_a_key_of_contents(num):
+    """At every size, also where groups stay empty."""
+    contents, rng = jaccard_join.Contents(num, 100), np.random.default_rng(num)
+    for n in [*range(2, 60), 100, 333, 1000]:
+        a = np.unique(rng.integers(1 << 63, size=n, dtype=np.uint64) * np.uint64(2))
+        gone = len(a) - -(-num * len(a) // 100)  # as many as may go
+        b = np.sort(rng.permutation(a)[gone:])
+        for other in (b, a[gone:]):
+            if gone and len(other):
+                assert len(np.intersect1d(contents.keys(a), contents.keys(other)))
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.net", "/en/", "allow"), ("EXAMPLE.com", "/de/", "block"),
          ("a.example.com", "/", "allow"), ("org", "", "block"), (None, "/", "block")]
 URLS = ["http://example.net/en/1", "http://www.Example.NET/EN/1", "https://x.net", "x.net/", None, "", "ftp://b.example.com/de/?q=/en/",
