@@ -57,6 +57,7 @@ CELL = 512  # members up to which a cell looks at pairs
 BLOCK = 512  # points in a leaf block
 NODE = 16  # points in the smallest nodes
 FINE_ROWS = 256  # points whose finer counts are compared with one at once
+TEXTS = 256  # texts in a batch, so that workers stay small
 COLUMNS = 4096  # shared shingles that one product takes
 MARKS = 1 << 22  # hashed marks by which a pass over the texts knows the documents it needs, half a megabyte
 
@@ -562,7 +563,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     docs = docs.select(key, text)
 
     schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, fine binary, keys array<bigint>"
-    signed = materialise(docs.mapInArrow(_points(key, text, size, num, den), schema), "jaccard-points")
+    signed = _few_at_a_time(docs.mapInArrow(_points(key, text, size, num, den), schema), TEXTS, "jaccard-points")
     usable = signed.where("n > 0 AND id IS NOT NULL")
     reps = usable.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "counts", "fine", "keys")])
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")  # ids may repeat, sets do not
@@ -590,7 +591,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     ranged = materialise(ranged, "jaccard-blocks")
     source = docs.select(F.col(key).cast("long").alias("id"), text).where("id IS NOT NULL").withColumn("mark", _mark("id"))
     tokens = source.mapInArrow(_tokens(text, size, _bitmap(ranged, "id")), "id bigint, digest binary, tokens binary")
-    tokens = materialise(tokens, "jaccard-tokens")
+    tokens = _few_at_a_time(tokens, TEXTS, "jaccard-tokens")
     if not tokens.groupBy("id", "digest").count().where("count > 1").isEmpty():  # repeated rows
         tokens = materialise(tokens.dropDuplicates(["id", "digest"]), "jaccard-tokens-once")
     release(edges)
