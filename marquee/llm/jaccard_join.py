@@ -563,10 +563,12 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     docs = docs.select(key, text)
 
     schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, fine binary, keys array<bigint>"
-    signed = _few_at_a_time(docs.mapInArrow(_points(key, text, size, num, den), schema), TEXTS, "jaccard-points")
-    usable = signed.where("n > 0 AND id IS NOT NULL")
+    points = _few_at_a_time(docs.mapInArrow(_points(key, text, size, num, den), schema), TEXTS, "jaccard-points")
+    signed = materialise(points.select("id", "n", "stamp", "digest"), "jaccard-signed")
+    usable = points.where("n > 0 AND id IS NOT NULL")
     reps = usable.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "counts", "fine", "keys")])
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")  # ids may repeat, sets do not
+    release(points)  # the keys are the bulk of it
 
     # Cells of sets with the same content of a group, and the families they make.
     slots = reps.select(F.explode("keys").alias("key"), "rep").repartitionByRange("key", "rep").sortWithinPartitions("key", "rep")
