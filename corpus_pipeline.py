@@ -7,7 +7,9 @@ packing        what is left, as token pieces with their place in a sequence
 
 Every stage keeps rows whose doc_id or text is null; a row that is repeated as a
 whole stays once.  A stage's result has to be written before the next stage is
-called, as ``run`` does: the tables it was made from go then.
+called, as ``run`` does: the tables it was made from go then.  In the first
+stage texts travel to the Python workers in batches of ``TEXTS`` rows; the second
+takes the session's own setting for that back.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from marquee.llm import jaccard_join, packing, pii, toxicity
 from marquee.llm.texts import table
 
 
+TEXTS = 256
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def after_previous(stage):
     """Lets go of the tables that the stage before has stored: its result has been written by now."""
 
@@ -42,6 +48,7 @@ _left: dict[str, list[str]] = {}
 
 @after_previous
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set(BATCH, str(TEXTS))
     net = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
     return toxicity.filter_toxic(docs, net)
 
@@ -49,6 +56,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @after_previous
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each component stays, with one text."""
+    spark.conf.unset(BATCH)
     return jaccard_join.first_of_components(docs, size=5, num=80, den=100)
 
 
