@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.analysis import ANALYZERS, PLAIN, Analyzer
-from marquee.functions.runs import run_ends, run_starts
+from marquee.functions.counting import coded, runs, steps
 
 # Index field -> document column.  The analysed title sits beside the raw one.
 FIELDS = {"summary": "summary", "content": "content", "movie_title_t": "movie_title"}
 
 
+POSTINGS_PER_BATCH = 50_000  # what travels back to the JVM at once
 MIN_BUCKETS, DOCS_PER_BUCKET = 16, 500_000
 
 
@@ -25,43 +30,58 @@ def build_postings(
 ) -> DataFrame:
     """(field, term, id, tf, positions, field_len, lead), one row per term of a field.
 
-    A document's words are sorted by (term, position) inside its own row and
-    each run of one term becomes a posting, so building needs no shuffle at
-    all.  ``field_len`` rides along to spare the search a join; ``lead`` marks
-    one posting of each document's field, so that documents can be counted.
+    A document's words are analysed in its own row; inside the task the words of
+    a batch are coded and sorted by (term, document, position), and each run of
+    one term in one document becomes a posting.  Building needs no shuffle, and
+    the postings of a batch leave in the order of the index.  ``field_len`` rides
+    along to spare the search a join; ``lead`` marks one posting of each
+    document's field, so that documents can be counted.
     """
-    long = docs.select(
-        F.col(doc_id).alias("id"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("field"), _placed(analyzer.slots(F.col(column))).alias("s"))
-                    for name, column in fields.items()
-                ]
-            )
-        ),
+    kind = docs.schema[doc_id].dataType.simpleString()
+    analysed = docs.select(
+        F.col(doc_id).alias("id"), *[analyzer.slots(F.col(column)).alias(f"s{i}") for i, column in enumerate(fields.values())]
+    )
+    names = sorted(fields)
+    columns = {name: f"s{i}" for i, name in enumerate(fields)}
+
+    def work(batches):
+        for batch in batches:
+            for step in steps(batch, list(columns.values())):
+                step = step.take(pc.sort_indices(step.column("id")))
+                for name in names:
+                    yield from _field_postings(name, step.column("id"), step.column(columns[name]))
+
+    return analysed.mapInArrow(
+        work, f"field string, term string, id {kind}, tf int, positions array<int>, field_len int, lead boolean"
     )
-    s = F.col("s")
-    cut = long.withColumn("b", run_starts(s, lambda i: s[i]["term"])).withColumn("e", run_ends(F.col("b"), s))
-
-    def posting(run: Column, number: Column) -> Column:
-        length = run["e"] - run["b"]
-        return F.struct(
-            s[run["b"]]["term"].alias("term"),
-            length.alias("tf"),
-            F.transform(F.slice(s, run["b"] + 1, length), lambda x: x["pos"]).alias("positions"),
-            (number == 0).alias("lead"),
-        )
-
-    return cut.select(
-        "field", "id", F.size(s).alias("field_len"), F.inline(F.transform(F.arrays_zip("b", "e"), posting))
-    ).select("field", "term", "id", "tf", "positions", "field_len", "lead")
 
 
-def _placed(slots: Column) -> Column:
-    """(term, pos) of every index term, sorted."""
-    placed = F.transform(slots, lambda term, pos: F.struct(term.alias("term"), pos.alias("pos")))
-    return F.sort_array(F.filter(placed, lambda x: x["term"].isNotNull()))
+def _field_postings(name: str, ids: pa.Array, slots: pa.ListArray) -> Iterator[pa.RecordBatch]:
+    found = coded(slots)
+    if not len(found.codes):
+        return
+    run = runs(found.rows, found.codes)
+    rows, codes = found.rows[run.order[run.starts]], found.codes[run.order[run.starts]]
+    lead = np.zeros(len(rows), dtype=bool)
+    lead[np.unique(rows, return_index=True)[1]] = True  # runs go by term: a row's first one
+    sizes = np.bincount(found.rows, minlength=len(ids)).astype(np.int32)
+    places = pa.array(found.places[run.order].astype(np.int32))
+    for low in range(0, len(rows), POSTINGS_PER_BATCH):
+        part = slice(low, low + POSTINGS_PER_BATCH)
+        first, end = run.starts[part][0], run.starts[part][-1] + run.lengths[part][-1]
+        edges = pa.array(np.append(run.starts[part], end).astype(np.int64) - first, pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.repeat(pa.scalar(name), len(rows[part])),
+                found.words.take(pa.array(codes[part])),
+                ids.take(pa.array(rows[part])),
+                pa.array(run.lengths[part].astype(np.int32)),
+                pa.ListArray.from_arrays(edges, places.slice(first, end - first)),
+                pa.array(sizes[rows[part]]),
+                pa.array(lead[part]),
+            ],
+            names=["field", "term", "id", "tf", "positions", "field_len", "lead"],
+        )
 
 
 def slot_count(slots: Column, analyzer: Analyzer) -> Column:
@@ -118,10 +138,11 @@ def write_index(
     if buckets is None:
         buckets = max(MIN_BUCKETS, -(-docs.count() // DOCS_PER_BUCKET))
     postings = build_postings(docs, analyzer=analyzer)
-    deal = F.pmod(F.xxhash64("id"), F.lit(files_per_bucket))
+    files = buckets * files_per_bucket
+    deal = F.col("bucket") * files_per_bucket + F.pmod(F.xxhash64("id"), F.lit(files_per_bucket)).cast("int")
     (
         postings.withColumn("bucket", bucket_of(buckets, F.col("field"), F.col("term")))
-        .repartition(buckets * files_per_bucket, "bucket", deal)
+        .repartitionById(files, deal)
         .sortWithinPartitions("bucket", "field", "term", "id")
         .write.mode(mode)
         .partitionBy("bucket")
@@ -129,7 +150,7 @@ def write_index(
     )
     (
         docs.withColumn("bucket", bucket_of(buckets, F.col("id")))
-        .repartition(buckets * files_per_bucket, "bucket", F.pmod(F.hash("id"), F.lit(files_per_bucket)))
+        .repartitionById(files, F.col("bucket") * files_per_bucket + F.pmod(F.hash("id"), F.lit(files_per_bucket)))
         .sortWithinPartitions("bucket", "id")
         .write.mode(mode)
         .partitionBy("bucket")

@@ -130,6 +130,33 @@ def test_postings_of_every_field(docs):
     assert english[("content", "war", "r3")] == [4] and ("content", "the", "r3") not in english
 
 
+def test_postings_agree_with_counting_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(po, "POSTINGS_PER_BATCH", 7)
+    texts = [" ".join(f"w{(i * j) % 13}" for j in range(i % 9)) for i in range(60)]
+    rows = [(f"d{i % 50}" if i % 11 else None, t if i % 7 else None) for i, t in enumerate(texts)]
+    built = po.build_postings(spark.createDataFrame(rows, "id string, content string"), {"content": "content"})
+    want = []
+    for id_, text in rows:
+        words = (text or "").split()
+        for term in set(words):
+            places = [p for p, w in enumerate(words) if w == term]
+            want.append(("content", term, id_, len(places), places, len(words), term == min(words)))
+    assert sorted(map(repr, map(tuple, built.collect()))) == sorted(map(repr, want))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "lambda" not in plan and "Exchange" not in plan
+
+
+def test_every_file_of_a_bucket_is_used(spark, tmp_path):
+    docs = spark.range(600).select(
+        F.format_string("d%05d", "id").alias("id"), F.lit("").alias("summary"), F.lit("t").alias("movie_title"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: F.concat(F.lit("w"), i))).alias("content"),
+    )
+    po.write_index(docs, str(tmp_path / "i"), buckets=5, files_per_bucket=4)
+    for table in ("postings", "docs"):
+        files = spark.read.parquet(str(tmp_path / "i" / table)).select("bucket", F.input_file_name().alias("f")).distinct()
+        assert {r["count"] for r in files.groupBy("bucket").count().collect()} == {4}
+
+
 def test_exact_and_analysed_title(docs):
     rows = {r.label: r.num_found for r in se.exact_and_analysed_title(docs, "infinity war").collect()}
     assert rows == {"exact_title": 0, "analysed_title": 3}
