@@ -158,3 +158,25 @@ def test_uniform_labels_are_even_and_stable(spark):
     df = spark.range(2000).select(F.col("id").cast("string").alias("review_id"))
     rows = df.select(mo.uniform_label(F.col("review_id"), 99).alias("x")).agg(F.avg("x")).first()[0]
     assert 0.46 < rows < 0.54
+
+
+def test_words_and_vectors_agree_with_counting_by_hand(spark):
+    texts = [" ".join(f"w{(i * j) % 11}" for j in range(i % 8)) for i in range(40)] + [None, "", "w1 x w2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "review_id int, text string").coalesce(1)
+    grams = []
+    for text in texts:
+        words = [w for w in (text or "").split() if len(w) > 1]
+        grams.append(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    totals = {g: (sum(row.count(g) for row in grams), sum(g in row for row in grams)) for row in grams for g in row}
+    built = ft.vocabulary(df, "text", 10_000, 1)
+    assert {r["term"]: (r["count"], r["df"]) for r in built.collect()} == totals
+    plan = ft._totals(df, "text", 1, True, None)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "lambda" not in plan  # a task shuffles distinct terms of many rows
+
+    fitted = ft.Vectorizer(["w1", "w1 w2", "w3", "w3 w6", "zz w9"], [1.5, 2.0, 0.5, 3.0, 1.0])
+    for row, vector in zip(grams, (r.features for r in fitted.transform(df, "text").orderBy("review_id").collect())):
+        weights = {i: row.count(t) * w for i, (t, w) in enumerate(zip(fitted.terms, fitted.idf)) if t in row}
+        norm = sum(w * w for w in weights.values()) ** 0.5
+        assert vector.size == 5 and dict(zip(vector.indices.tolist(), vector.values.tolist())) == {
+            i: pytest.approx(w / norm) for i, w in weights.items()
+        }

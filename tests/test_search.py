@@ -1,9 +1,11 @@
 import math
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.functions import counting
 from marquee.functions.analysis import ENGLISH, PLAIN
 from marquee.operators import facets as fa
 from marquee.operators import postings as po
@@ -130,8 +132,25 @@ def test_postings_of_every_field(docs):
     assert english[("content", "war", "r3")] == [4] and ("content", "the", "r3") not in english
 
 
-def test_postings_agree_with_counting_by_hand(spark, monkeypatch):
-    monkeypatch.setattr(po, "POSTINGS_PER_BATCH", 7)
+def test_steps_and_batches_cut_no_posting(monkeypatch):
+    lists = pa.array([["b", "a", "b"], None, [], ["a", None, "c", "a"], ["d"] * 9], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "y", "z", "x", None]), lists], names=["id", "w"])
+    rows = lambda b: [r for found in po._field_postings("f", b.column("id"), b.column("w")) for r in found.to_pylist()]
+    whole = rows(batch)
+    assert [(r["term"], r["id"], r["positions"], r["field_len"], r["lead"]) for r in whole] == [
+        ("a", "x", [1], 3, True), ("a", "x", [0, 3], 3, True), ("b", "x", [0, 2], 3, False), ("c", "x", [2], 3, False),
+        ("d", None, list(range(9)), 9, True),
+    ]
+    monkeypatch.setattr(po, "POSTINGS_PER_BATCH", 2)
+    assert rows(batch) == whole
+    monkeypatch.setattr(counting, "STEP_WORDS", 4)
+    parts = list(counting.steps(batch, ["w"]))
+    assert [p.num_rows for p in parts] == [4, 1] and pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    by_part = [r for p in parts for r in rows(p)]
+    assert sorted(map(repr, by_part)) == sorted(map(repr, whole))
+
+
+def test_postings_agree_with_counting_by_hand(spark):
     texts = [" ".join(f"w{(i * j) % 13}" for j in range(i % 9)) for i in range(60)]
     rows = [(f"d{i % 50}" if i % 11 else None, t if i % 7 else None) for i, t in enumerate(texts)]
     built = po.build_postings(spark.createDataFrame(rows, "id string, content string"), {"content": "content"})
