@@ -35,6 +35,7 @@ from marquee.session import materialise
 
 CAPACITY = 2048
 PIECES_PER_SHARD = 2_000_000  # pieces that one shard sweeps; fewer shards waste fewer half-filled sequences
+BATCH_BYTES = 2 << 20  # of texts that travel to a Python worker at once
 RANKS_PER_CHUNK = 1024  # ranks of one length that meet their places in one group
 _RUNS = "shard int, kind string, size int, lo bigint, n bigint, first bigint, per bigint, at int"
 
@@ -192,5 +193,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", piece
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Tokenise, cut and pack: (key, piece, start, length, ids_crc32, sequence_id, offset)."""
-    pieces = materialise(token_pieces(docs, path, capacity, key=key, text=text, with_ids=False), "packing-pieces")
+    conf, setting = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(BATCH_BYTES))
+    try:
+        pieces = materialise(token_pieces(docs, path, capacity, key=key, text=text, with_ids=False), "packing-pieces")
+    finally:
+        conf.set(setting, before)
     return pack(pieces, capacity, key)

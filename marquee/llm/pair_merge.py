@@ -9,7 +9,7 @@ together; only words longer than ``WIDE`` symbols take the heap, whose cost is
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
@@ -64,22 +64,41 @@ class PairMerger:
 
     def merge_all(self, symbols: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
         """The merged ids of each word; ``symbols`` holds the words' initial ids one after the other."""
+        out: list[list[int]] = [[]] * len(lengths)
+        for which, ids in self._blocks(symbols, lengths):
+            for i, row in zip(which.tolist(), ids.tolist()):
+                out[i] = row
+        return out
+
+    def merge_flat(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The merged ids of all words one after the other, and how many each word has."""
+        counts = np.zeros(len(lengths), dtype=np.int64)
+        blocks = list(self._blocks(symbols, lengths))
+        for which, ids in blocks:
+            counts[which] = ids.shape[1]
+        starts = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), dtype=np.int32)
+        for which, ids in blocks:
+            out[starts[which][:, None] + np.arange(ids.shape[1])] = ids
+        return out, counts
+
+    def _blocks(self, symbols: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(words, their merged ids as rows of one width), until every word that is not empty has come."""
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        out: list[list[int]] = [[]] * len(lengths)
         for i in np.flatnonzero(lengths > WIDE).tolist():
-            out[i] = self._merge_long(symbols[starts[i] : ends[i]].tolist())
+            yield np.array([i]), np.array([self._merge_long(symbols[starts[i] : ends[i]].tolist())], dtype=np.int32)
         for length in np.unique(lengths[(lengths > 0) & (lengths <= WIDE)]).tolist():
             members = np.flatnonzero(lengths == length)
             rows = symbols[starts[members][:, None] + np.arange(length)]
-            merged = self._merge_rows(rows) if length > 1 else rows.tolist()
-            for i, row in zip(members.tolist(), merged):
-                out[i] = row
-        return out
+            if length == 1:
+                yield members, rows
+                continue
+            for which, ids in self._merge_rows(rows):
+                yield members[which], ids
 
-    def _merge_rows(self, ids: np.ndarray) -> list[list[int]]:
+    def _merge_rows(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Words of one length; every round merges the leftmost best pair of each."""
-        out: list[list[int]] = [[]] * len(ids)
         which = np.arange(len(ids))
         rank = self._look(ids[:, :-1], ids[:, 1:])
         while True:
@@ -87,21 +106,19 @@ class PairMerger:
             best = rank[np.arange(len(ids)), at]
             done = best == _NONE
             if done.any():
-                for i, row in zip(which[done].tolist(), ids[done].tolist()):
-                    out[i] = row
+                yield which[done], ids[done]
                 live = ~done
                 ids, rank, which, at, best = ids[live], rank[live], which[live], at[live], best[live]
             if not len(ids):
-                return out
+                return
             rows, width = np.arange(len(ids)), ids.shape[1]
             ids[rows, at] = self._merged[best]
             keep = np.ones(ids.shape, dtype=bool)
             keep[rows, at + 1] = False
             ids = ids[keep].reshape(len(ids), width - 1)
             if width == 2:
-                for i, row in zip(which.tolist(), ids.tolist()):
-                    out[i] = row
-                return out
+                yield which, ids
+                return
             keep = np.ones(rank.shape, dtype=bool)
             keep[rows, at] = False
             rank = rank[keep].reshape(len(ids), width - 2)

@@ -1,14 +1,15 @@
-"""Reading the tables and walking over Arrow batches of texts in small steps."""
+"""Reading the tables, walking over Arrow batches of texts in small steps, and what workers keep between tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _RANGE = 1 << 40
+_MODEL: dict[tuple, object] = {}
 STEP_CHARS = 1 << 20  # characters that one step of a batch holds before the next begins
 
 
@@ -42,3 +43,17 @@ def steps(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str]]]
             first, held, size = i + 1, [], 0
     if held:
         yield first, held
+
+
+def only_model(make: Callable, *args):
+    """``make(*args)``, kept until another one is asked for.
+
+    Python workers go on from stage to stage; each keeps the model of its present stage alone.
+    """
+    if (make, *args) not in _MODEL:
+        _MODEL.clear()
+        pa.default_memory_pool().release_unused()
+        made = make(*args)
+        _MODEL.clear()  # of a model that another one was made of, too
+        _MODEL[(make, *args)] = made
+    return _MODEL[(make, *args)]

@@ -13,13 +13,11 @@ rows; further columns are not looked at.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marquee.llm.pair_merge import BoundedCache
-from marquee.llm.texts import steps
+from marquee.llm.texts import only_model, steps
 from marquee.llm.word_bpe import CACHED_WORDS, WordBpe, word_bpe
 
 LIMIT = 2048
@@ -84,9 +82,8 @@ class TokenCounter:
         return totals
 
 
-@lru_cache(maxsize=2)
 def token_counter(path: str) -> TokenCounter:
-    return TokenCounter(path)
+    return only_model(TokenCounter, path)
 
 
 def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:

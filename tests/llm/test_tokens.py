@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from marquee.llm import byte_bpe, packing, token_counts
-from marquee.llm.word_bpe import word_bpe
+from marquee.llm.word_bpe import WordBpe, word_bpe
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -93,6 +93,43 @@ def test_word_ids_and_counts_are_the_librarys(library):
     assert token_counts.token_counter(WORDS).count(texts) == [len(ids) for ids in want]
 
 
+def test_ids_of_a_step_are_the_librarys(library):
+    rng = random.Random(9)
+    parts = [
+        "'s", "'t", "'re", "'ve", "'ll", "'d", "'m", "'", "r", "e", "l", "s", "see", "é", "½", "²", "12", " ", " ", "\u0301", "\x00", "\x1c",
+        "’", "ß", "ǆ", "İ", "Σ", "<|endoftext|>", "<|", "!", "\u3000", "\x85", "ñandú", "x" * 17, "é" * 8, "é" * 9, "ȯ", "Ȱ", "中", "😀",
+    ]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)] + ["", " ", "'", "a'"]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    bpe = WordBpe(WORDS)
+    for step in (1, 50, len(texts)):
+        got = [np.frombuffer(raw, "<u4").tolist() for i in range(0, len(texts), step) for raw in bpe.encode(texts[i : i + step])]
+        assert got == want
+    assert bpe.encode([]) == []
+
+
+def test_known_pieces_are_bounded(library, monkeypatch):
+    monkeypatch.setattr("marquee.llm.word_bpe.CACHED_PIECES", 300)
+    bpe, rng = WordBpe(WORDS), random.Random(4)
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choices("abcé", k=rng.randint(3, 9))) for _ in range(20)) for _ in range(20)]
+        got = [np.frombuffer(raw, "<u4").tolist() for raw in bpe.encode(texts)]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert len(bpe._pieces) <= 300 + 400
+
+
+def test_words_not_seen_before_are_not_learned_one_by_one(library):
+    """Their text is split and merged as a whole; only odd words and long pre-tokens are Python strings."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdeé", k=7)) + rng.choice(",.!") for _ in range(50)) for _ in range(50)]
+    bpe, asked = WordBpe(WORDS), []
+    learn = bpe.learn
+    bpe.learn = lambda words: asked.extend(words) or learn(words)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in bpe.encode([*texts, "日本語 " + "x" * 17])]
+    assert got[:-1] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert sorted(asked) == ["x" * 17, "日本語"]
+
+
 def test_whole_tokens_are_one_token(library):
     whole = sorted(token_counts.token_counter(WORDS).whole)
     assert len(whole) > 10_000
