@@ -25,14 +25,13 @@ from __future__ import annotations
 import gc
 import pickle
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.texts import hashed_sample, steps
+from marquee.llm.texts import hashed_sample, only_model, steps
 
 POSITIVES, NEGATIVES = 1000, 2400  # labelled rows that training uses at most, chosen by hash
 WINDOW, STRIDE = 64, 32
@@ -40,7 +39,7 @@ HIDDEN, WIDTH = 8, 8  # units of a direction, size of each of the two embeddings
 BUCKETS = 1 << 16  # hashed embeddings, of words and of n-grams each
 GRAMS = (3, 5)  # bytes in a character n-gram, with marks at both ends of a word
 THRESHOLD = 0.3
-CACHED_WORDS = 250_000
+CACHED_WORDS = 125_000
 EPOCHS = 8
 _EDGE = b".,;:!?\"'()[]{}*&%$#|<>-_=+/\\~`^@"
 
@@ -302,10 +301,13 @@ class Scorer:
         return _sigmoid(best)
 
 
-@lru_cache(maxsize=1)
+def _loaded(model: bytes) -> Scorer:
+    return Scorer(pickle.loads(model))
+
+
 def _scorer(model: bytes) -> Scorer:
     gc.set_threshold(200_000, 20, 50)
-    return Scorer(pickle.loads(model))
+    return only_model(_loaded, model)
 
 
 def held_out(key: Column) -> Column:

@@ -1,8 +1,11 @@
 """Byte-level BPE, token counts and packing against the libraries and by invariants."""
 
 import base64
+import gc
 import hashlib
+import pickle
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -13,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marquee.llm import byte_bpe, packing, token_counts
+from marquee.llm import byte_bpe, packing, token_counts, toxicity
 from marquee.llm.word_bpe import WordBpe, word_bpe
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -130,6 +133,15 @@ def test_words_not_seen_before_are_not_learned_one_by_one(library):
     assert sorted(asked) == ["x" * 17, "日本語"]
 
 
+def test_workers_keep_one_model():
+    made = [word_bpe(WORDS), toxicity._scorer(pickle.dumps(None))]
+    freed = weakref.ref(made.pop(0))
+    gc.collect()
+    assert freed() is None  # another stage's model does not stay beside it
+    assert toxicity._scorer(pickle.dumps(None)) is made[0]
+    assert token_counts.token_counter(WORDS) is token_counts.token_counter(WORDS)
+
+
 def test_whole_tokens_are_one_token(library):
     whole = sorted(token_counts.token_counter(WORDS).whole)
     assert len(whole) > 10_000
