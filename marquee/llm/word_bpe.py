@@ -26,7 +26,7 @@ from marquee.llm.pair_merge import BoundedCache, PairMerger
 from marquee.llm.texts import only_model
 
 CACHED_WORDS = 400_000  # distinct words a worker remembers
-CACHED_PIECES = 400_000  # distinct short pre-tokens a worker remembers
+CACHED_PIECES = 200_000  # distinct short pre-tokens a worker remembers
 SHORT = 16  # bytes of a pre-token that two numbers hold
 # The pattern that ``WordBpe.units`` follows; a vocabulary with another one is read word by word.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
