@@ -5,9 +5,11 @@ it.  Directions are a product code: a random rotation (signs and a Hadamard
 transform) splits a vector into blocks, each block has its own random codewords,
 and every combination of one word from each block is a direction.  So half
 a million directions cost four thousand codewords, and all directions that a
-vector exceeds are listed by walking the sorted block scores, never by trying all.  Vectors are
+vector exceeds are listed by walking the sorted block scores, never by trying all.
+There are as many directions more as the largest label has vectors, so that buckets
+stay as full as they are in a small table.  Vectors are
 joined on (label, filter) and every pair in a bucket is verified by its cosine in
-double precision.  A pair is counted in the first filter that both exceed.
+double precision, those of many small buckets at once.  A pair is counted in the first filter that both exceed.
 
 Equal vectors are one vector with a weight before any of this.  A bucket above
 ``BLOCK`` vectors is dealt to pairs of blocks, each a group of its own, so that
@@ -37,9 +39,13 @@ from marquee.session import materialise
 
 THRESHOLD = 0.93
 CODES = 8  # product codes, each with a rotation of its own
-WORDS = 256  # codewords of each of a code's two blocks
+WORDS = 256  # codewords of each of a code's two blocks, at least
+FULL = 1000  # vectors of a label for which that many words are enough
 FILTERS = 70  # filters that a random vector exceeds on average; fixes the height of the caps in any dimension
+SCORES = 1 << 21  # block scores that are held at once
 BLOCK = 2048  # vectors that one group compares with another
+SMALL = 16  # vectors up to which groups of one size are compared together
+PAIRS = 4096  # linked pairs whose filters are compared at once
 _FINITE = "embedding IS NOT NULL AND size(embedding) > 0 AND forall(embedding, x -> x IS NOT NULL AND x = x AND abs(x) < double('inf')) AND exists(embedding, x -> x <> 0)"
 
 
@@ -58,9 +64,16 @@ def cap_height(dim: int, words: int, seed: int, filters: float) -> float:
     """The score that random unit vectors reach in ``filters`` directions of a code on average."""
     unit = np.random.default_rng(99).standard_normal((64, dim))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    left, right = _block_scores(unit, words, seed)
-    every = (left[:, :, None] + right[:, None, :]).ravel()
-    return float(np.partition(every, -int(64 * filters))[-int(64 * filters)])
+    left, right = (-np.sort(-scores, axis=1) for scores in _block_scores(unit, words, seed))
+    most = int(64 * filters)
+    first, second = np.nonzero(np.outer(np.arange(1, min(words, most) + 1), np.arange(1, min(words, most) + 1)) <= most)
+    every = (left[:, first] + right[:, second]).ravel()  # without those that ``most`` others of their own vector exceed
+    return float(np.partition(every, -most)[-most])
+
+
+def words_for(largest: int) -> int:
+    """Codewords for a largest label of that many vectors: directions, the square of it, grow as the vectors."""
+    return max(WORDS, math.ceil(WORDS * math.sqrt(largest / FULL)))
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -94,29 +107,37 @@ def exceeded_in(unit: np.ndarray, words: int, height: float, seed: int) -> list[
     return out
 
 
-def exceeded(unit: np.ndarray, codes: int = CODES, words: int = WORDS, filters: int = FILTERS) -> list[np.ndarray]:
+def exceeded(unit: np.ndarray, codes: int = CODES, words: int = WORDS, filters: float = FILTERS) -> list[np.ndarray]:
     """For each unit vector all filters it exceeds, in order."""
-    found = [exceeded_in(unit, words, cap_height(unit.shape[1], words, seed, filters / codes), seed) for seed in range(codes)]
-    return [np.sort(np.concatenate([f + i * words * words for i, f in enumerate(own)])) for own in zip(*found)]
+    filters *= (words / WORDS) ** (4 / unit.shape[1])  # in few dimensions smaller caps lose more pairs
+    heights = [cap_height(unit.shape[1], words, seed, filters / codes) for seed in range(codes)]
+    rows, out = max(1, SCORES // words), []
+    for at in range(0, len(unit), rows):
+        found = [exceeded_in(unit[at : at + rows], words, height, seed) for seed, height in enumerate(heights)]
+        out += [np.sort(np.concatenate([f + i * words * words for i, f in enumerate(own)])) for own in zip(*found)]
+    return out
+
 
+def _code_rows(words: int):
+    def work(batches):
+        for batch in batches:
+            raw = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, 1))
+            unit = raw.astype(np.float64)
+            unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+            lists = exceeded(unit, words=words) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("label"), batch.column("weight"),
+                 pa.array([v.tobytes() for v in raw], pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                names=["rep", "label", "weight", "raw", "filters"],
+            )
 
-def _code_rows(batches):
-    for batch in batches:
-        raw = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, 1))
-        unit = raw.astype(np.float64)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        lists = exceeded(unit) if batch.num_rows else []
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("rep"), batch.column("label"), batch.column("weight"),
-             pa.array([v.tobytes() for v in raw], pa.binary()), pa.array([f.tolist() for f in lists], pa.list_(pa.int32()))],
-            names=["rep", "label", "weight", "raw", "filters"],
-        )
+    return work
 
 
 def _earlier(filters: list[np.ndarray], this: int, other: list[np.ndarray]) -> np.ndarray:
     """Whether two vectors share a filter before this one, for all pairs of two lists."""
     left, right = [f[f < this] for f in filters], [f[f < this] for f in other]
-    known, place = np.unique(np.concatenate([*left, *right, np.zeros(0, np.int32)]), return_inverse=True)
+    known, place = np.unique(np.concatenate([*left, *right, np.zeros(0, np.int64)]), return_inverse=True)
     if not len(known):
         return np.zeros((len(left), len(right)), dtype=bool)
     rows = np.repeat(np.arange(len(left) + len(right)), [len(f) for f in (*left, *right)])
@@ -142,47 +163,86 @@ def _roots(linked: np.ndarray, names: np.ndarray) -> np.ndarray:
         names = least
 
 
+def _met_before(filters: pa.Array, this: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether each pair of rows shares a filter before the one it is met in."""
+    values, ends = filters.flatten().to_numpy(), np.cumsum(np.append(0, filters.value_lengths().to_numpy()))
+    longest = int(np.diff(ends).max(initial=0))
+    out = np.zeros(len(left), dtype=bool)
+    for at in range(0, len(left), PAIRS):
+        sides = []
+        for rows, none in ((left[at : at + PAIRS], -1), (right[at : at + PAIRS], -2)):
+            place = ends[rows][:, None] + np.arange(longest)
+            own = values[np.minimum(place, len(values) - 1)]
+            sides.append(np.where((place < ends[rows + 1][:, None]) & (own < this[at : at + PAIRS, None]), own, none))
+        both = np.sort(np.concatenate(sides, axis=1), axis=1)
+        out[at : at + PAIRS] = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] >= 0)).any(axis=1)
+    return out
+
+
+_MEMBERS = ["label", "filter", "one", "two", "rep", "weight", "raw", "filters", "mine"]
+
+
 def _verify(threshold: float, dtype: str):
-    def one(rows: list, this: int, cross: bool):
-        """(rep, links, smallest linked rep) of each member of a group; ``cross``: only pairs of different blocks."""
-        reps = np.array([r[0] for r in rows])
-        weights = np.array([r[1] for r in rows])
-        x = np.stack([np.frombuffer(r[2], dtype=dtype) for r in rows]).astype(np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        linked = x @ x.T >= threshold
+    """(rep, links, a smaller linked rep or itself), from groups of members that exceed one filter."""
+
+    def large(members: slice, x, reps, weights, side, filters, this: int, cross: bool):
+        """A row for each linked member, with the smallest rep it is connected to here."""
+        linked = x[members] @ x[members].T >= threshold
         np.fill_diagonal(linked, False)
-        if cross:
-            side = np.array([r[4] for r in rows])
-            linked &= side[:, None] != side[None, :]
-        members = np.flatnonzero(linked.any(axis=1))
-        if not len(members):
-            return
-        linked = linked[np.ix_(members, members)]
-        lists = [rows[i][3] for i in members]
+        if cross:  # only pairs of different blocks
+            linked &= side[members, None] != side[None, members]
+        some = np.flatnonzero(linked.any(axis=1))
+        linked = linked[np.ix_(some, some)]
+        lists = [filters[members.start + i].values.to_numpy() for i in some.tolist()]
         counted = linked & ~_earlier(lists, this, lists)
-        roots = _roots(linked, reps[members])
-        yield from zip(reps[members].tolist(), (counted @ weights[members]).tolist(), roots.tolist())
+        return reps[members][some], counted @ weights[members][some], _roots(linked, reps[members][some])
+
+    def small(starts: np.ndarray, size: int, x, side, cross):
+        """Linked pairs of rows in groups of one size."""
+        rows = starts[:, None] + np.arange(size)
+        linked = np.triu(x[rows] @ x[rows].transpose(0, 2, 1) >= threshold, 1)
+        linked &= ~cross[starts][:, None, None] | (side[rows][:, :, None] != side[rows][:, None, :])
+        group, i, j = np.nonzero(linked)
+        return starts[group] + i, starts[group] + j
+
+    def groups(table: pa.Table, starts: np.ndarray, sizes: np.ndarray):
+        if not len(starts):
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, names=["rep", "links", "root"])
+        this, one, two, reps, weights, side = (table.column(c).to_numpy() for c in ("filter", "one", "two", "rep", "weight", "mine"))
+        x = np.frombuffer(b"".join(table.column("raw").to_pylist()), dtype=dtype).reshape(table.num_rows, -1).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        filters, cross = table.column("filters").combine_chunks(), one != two
+        none, out, pairs = np.zeros(0, dtype=np.int64), [], []
+        for size in np.unique(sizes[sizes > 1]).tolist():
+            here = starts[sizes == size]
+            if size > SMALL:
+                out += [large(slice(i, i + size), x, reps, weights, side, filters, this[i], cross[i]) for i in here.tolist()]
+            else:
+                step = max(1, SCORES // (size * x.shape[1]))
+                pairs += [small(here[at : at + step], size, x, side, cross) for at in range(0, len(here), step)]
+        a, b = (np.concatenate([none, *part]) for part in zip(*pairs)) if pairs else (none, none)
+        if len(a):
+            first = ~_met_before(filters, this[a], a, b)  # each pair is given once, where it meets first
+            a, b = a[first], b[first]
+            root = np.minimum(reps[a], reps[b])
+            out += [(reps[a], weights[b], root), (reps[b], weights[a], root)]
+        columns = [np.concatenate([none, *part]) for part in zip(*out)] if out else [none] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rep", "links", "root"])
 
     def work(batches):
-        key, rows = None, []
+        held = []  # the last group, which may go on in the next batch
         for batch in batches:
-            columns = [batch.column(c) for c in ("label", "filter", "one", "two", "rep", "weight", "raw", "filters", "mine")]
-            keys = list(zip(*[c.to_pylist() for c in columns[:4]]))
-            out = []
-            reps, weights, mine = (columns[i].to_pylist() for i in (4, 5, 8))
-            for i, k in enumerate(keys):
-                if k != key:
-                    if len(rows) > 1:
-                        out += one(rows, key[1], key[2] != key[3])
-                    key, rows = k, []
-                rows.append((reps[i], weights[i], columns[6][i].as_py(), np.array(columns[7][i].as_py(), dtype=np.int32), mine[i]))
-            yield _rows(out)
-        if len(rows) > 1:
-            yield _rows(list(one(rows, key[1], key[2] != key[3])))
-
-    def _rows(out):
-        rep, links, root = zip(*out) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(links, pa.int64()), pa.array(root, pa.int64())], names=["rep", "links", "root"])
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*held, batch.select(_MEMBERS)]).combine_chunks()
+            keys = [table.column(c).to_numpy() for c in ("label", "filter", "one", "two")]
+            new = np.logical_or.reduce([np.asarray(k[1:] != k[:-1], dtype=bool) for k in keys])
+            starts = np.append(0, np.flatnonzero(new) + 1)
+            yield groups(table.slice(0, starts[-1]), starts[:-1], np.diff(starts))
+            held = table.slice(starts[-1]).to_batches()
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield groups(table, np.zeros(1, dtype=np.int64), np.array([table.num_rows]))
 
     return work
 
@@ -197,7 +257,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
     reps = valid.groupBy("label", "embedding").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "caps-vectors")  # ids may repeat, vectors do not
     kind = vectors.schema[label].dataType.simpleString()
-    coded = reps.drop("id").mapInArrow(_code_rows, f"rep bigint, label {kind}, weight bigint, raw binary, filters array<int>")
+    words = words_for(reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0)
+    coded = reps.drop("id").mapInArrow(_code_rows(words), f"rep bigint, label {kind}, weight bigint, raw binary, filters array<bigint>")
     coded = materialise(coded, "caps-coded")
 
     # Only buckets of two and more matter; those above the block size become pairs of blocks.

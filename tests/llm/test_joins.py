@@ -74,6 +74,52 @@ def test_recall_of_the_filters_at_the_threshold():
     assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in pairs]) >= 0.99
 
 
+@pytest.mark.parametrize("dim", [16, 64])
+def test_recall_stays_with_more_codewords(dim):
+    rng = np.random.default_rng(4)
+    x, z = rng.standard_normal((2, 300, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    words = cap_dedup.words_for(60_000)
+    pairs = zip(cap_dedup.exceeded(x, words=words), cap_dedup.exceeded(0.93 * x + np.sqrt(1 - 0.93**2) * z, words=words))
+    assert words > 1900 and np.mean([len(np.intersect1d(a, b)) > 0 for a, b in pairs]) >= 0.97
+
+
+def test_directions_grow_with_the_vectors():
+    """Four times the vectors of a label make about four times the pairs in buckets, not sixteen times."""
+    rng = np.random.default_rng(5)
+    pairs = []
+    for n in (1000, 4000):
+        x = rng.standard_normal((n, 32))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        sizes = np.unique(np.concatenate(cap_dedup.exceeded(x, words=cap_dedup.words_for(n))), return_counts=True)[1]
+        pairs.append((sizes * (sizes - 1) // 2).sum())
+    assert cap_dedup.words_for(1000) == cap_dedup.WORDS and pairs[1] < 6 * pairs[0]
+
+
+def test_filters_met_before():
+    import pyarrow as pa
+
+    lists = [[1, 5, 9], [5, 9], [], [1, 2, 9, 70_000_000_000], [70_000_000_000]]
+    left, right = np.array([0, 0, 0, 3, 1, 2]), np.array([1, 1, 3, 4, 3, 4])
+    this = np.array([9, 5, 9, 70_000_000_000, 9, 9])
+    got = cap_dedup._met_before(pa.array(lists, pa.list_(pa.int64())), this, left, right)
+    assert got.tolist() == [True, False, True, False, False, False]
+    table = pa.table({"f": pa.array([[0], *lists], pa.list_(pa.int64()))}).slice(1)
+    assert (cap_dedup._met_before(table.column("f").combine_chunks(), this, left, right) == got).all()
+
+
+@pytest.mark.parametrize(("small", "block", "full"), [(1, 2048, 1000), (3, 3, 1), (16, 2048, 1)])
+def test_groups_of_all_sizes_and_more_codewords(spark, monkeypatch, small, block, full):
+    monkeypatch.setattr(cap_dedup, "SMALL", small)
+    monkeypatch.setattr(cap_dedup, "FULL", full)
+    df = spark.createDataFrame(vectors(150), VECTORS)
+    want = cap_dedup.near_duplicates(df, block=2048).collect()
+    monkeypatch.undo()
+    assert sorted(cap_dedup.near_duplicates(df, block=block).collect(), key=str) == sorted(want, key=str)
+
+
 def test_empty_embeddings(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert cap_dedup.near_duplicates(empty).count() == 0
