@@ -14,7 +14,9 @@ content of one.  Shared passages hardly make a group agree, near copies do.  Siz
 are dealt to levels that overlap, with groups for the largest ``d`` of each.  A
 level with ``e`` further groups leaves ``1 + e`` that agree, so a set with up to
 ``e`` empty groups need not be found by these.  Sets that agree meet in a cell,
-pairs whose bound is high enough are joined, and families are what is connected.
+pairs that may be similar are joined, and families are what is connected.  For that a
+set has the parities of its counts in ``BITS`` groups: a shingle that only one of two
+sets has changes one of them, so they differ in as many at least as parities do.
 Joining too much is safe, losing a pair is not, so a cell too large for pairs is
 joined whole.
 Families, sizes and counts are the sort order in which the points are packed
@@ -52,6 +54,7 @@ from marquee.llm.texts import steps
 from marquee.session import materialise, release
 
 GROUPS = 32  # dimensions of the points
+BITS = 1024  # groups whose counts' parities a cell compares
 STEP = 1.25  # from the differing shingles of a level to those of the next
 CELL = 512  # members up to which a cell looks at pairs
 BLOCK = 512  # points in a leaf block
@@ -186,7 +189,7 @@ def _points(key: str, text: str, size: int, num: int, den: int):
         contents = Contents(num, den)
         for batch in batches:
             for first, texts in steps(batch, text):
-                sizes, digests, counts, fine, keys = [], [], [], [], []
+                sizes, digests, counts, fine, odd, keys = [], [], [], [], [], []
                 stamps = [hashlib.md5(t.encode()).digest() for t in texts]
                 for hashes in shingle_sets(texts, size):
                     n = len(hashes)
@@ -195,17 +198,18 @@ def _points(key: str, text: str, size: int, num: int, den: int):
                     finer = _fine(hashes)
                     counts.append(_folded(finer, GROUPS).astype("<i4").tobytes())
                     fine.append(finer.astype("<u2").tobytes())
+                    odd.append(_odd(hashes).tobytes())
                     keys.append(contents.keys(hashes) if n else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).slice(first, len(texts)).cast(pa.int64()), pa.array(sizes, pa.int64()),
-                        pa.array(stamps, pa.binary()), pa.array(digests, pa.binary()), pa.array(counts, pa.binary()), pa.array(fine, pa.binary()),
+                        pa.array(stamps, pa.binary()), pa.array(digests, pa.binary()), pa.array(counts, pa.binary()), pa.array(fine, pa.binary()), pa.array(odd, pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]), pa.int32()),
                             pa.array(np.concatenate([np.zeros(0, np.int64), *keys])),
                         ),
                     ],
-                    names=["id", "n", "stamp", "digest", "counts", "fine", "keys"],
+                    names=["id", "n", "stamp", "digest", "counts", "fine", "odd", "keys"],
                 )
 
     return work
@@ -217,6 +221,16 @@ def _fine(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
 
 
+def _odd(hashes: np.ndarray) -> np.ndarray:
+    """In which of ``BITS`` groups the count is odd."""
+    return np.packbits(np.bincount((hashes >> np.uint64(40) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) % 2 == 1)
+
+
+def _few_apart(apart: np.ndarray, both: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets that differ by so many shingles at least, and have ``both`` together, can be similar."""
+    return apart * (num + den) <= both * (den - num)
+
+
 def _folded(fine: np.ndarray, groups: int) -> np.ndarray:
     """The same counts in fewer groups."""
     return fine.reshape(-1, groups).sum(axis=0)
@@ -321,7 +335,13 @@ def _runs(batches):
 def _cells(num: int, den: int):
     """Edges that span the pairs of each cell with a bound high enough."""
 
-    def joined(keys: np.ndarray, reps: np.ndarray, n: np.ndarray, points: np.ndarray) -> pa.RecordBatch:
+    def differing(odd: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(odd), len(odd)), dtype=np.int64)
+        for word in odd.T:
+            total += np.bitwise_count(word[:, None] ^ word[None, :])
+        return total
+
+    def joined(keys: np.ndarray, reps: np.ndarray, n: np.ndarray, odd: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
         sizes = np.diff(starts, append=len(keys))
         left, right = [], []
@@ -331,13 +351,13 @@ def _cells(num: int, den: int):
                 for i in range(size):
                     for j in range(i):
                         a, b = here + i, here + j
-                        good = np.minimum(points[a], points[b]).sum(axis=1) * (num + den) >= num * (n[a] + n[b])
+                        good = _few_apart(np.bitwise_count(odd[a] ^ odd[b]).sum(axis=1, dtype=np.int64), n[a] + n[b], num, den)
                         left.append(a[good])
                         right.append(b[good])
             else:
                 for at in here.tolist():
                     own = slice(at, at + size)
-                    a, b = _spanned(_enough(_overlap(points[own], points[own]), n[own], n[own], num, den))
+                    a, b = _spanned(_few_apart(differing(odd[own]), n[own][:, None] + n[own][None, :], num, den))
                     left.append(np.array(a, dtype=np.int64) + at)
                     right.append(np.array(b, dtype=np.int64) + at)
         none = np.zeros(0, dtype=np.int64)
@@ -348,7 +368,7 @@ def _cells(num: int, den: int):
         for batch in batches:
             now = [
                 batch.column("key").to_numpy(), batch.column("rep").to_numpy(), batch.column("n").to_numpy(),
-                np.frombuffer(b"".join(batch.column("counts").to_pylist()), dtype="<i4").reshape(-1, GROUPS),
+                np.frombuffer(b"".join(batch.column("odd").to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64),
             ]
             held = now if held is None else [np.concatenate(pair) for pair in zip(held, now)]
             if not len(held[0]):
@@ -451,7 +471,7 @@ def _family_links(rows: list[tuple], num: int, den: int, cross: bool) -> tuple[l
 
 def _with_sets(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     """``rows`` with the set of each; of documents with equal ids only the one the point is of."""
-    return rows.join(tokens, ["id", "digest"])
+    return rows.join(_parted(tokens, rows, "digest")[0], ["id", "digest"])
 
 
 _BOUNDED = {"meeting": "string", "family": "bigint", "rep": "bigint", "id": "bigint", "digest": "binary", "n": "bigint", "counts": "binary",
@@ -491,13 +511,14 @@ def _few_at_a_time(result: DataFrame, rows: int, name: str) -> DataFrame:
 _ARROW = {"string": "string", "bigint": "int64", "binary": "binary", "int": "int32"}
 
 
-def _corners(keys: list[str], corner_name: str, least_name: str):
-    """The upper corner and the least size of a group of points."""
+def _corners(keys: list[str], corner_name: str, least_name: str, most_name: str):
+    """The upper corner, the least and the greatest size of a group of points."""
 
     def work(table: pa.Table) -> pa.Table:
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<i4").reshape(-1, GROUPS)
-        corner, least = counts.max(axis=0).tobytes(), min(table.column("n").to_pylist())
-        return pa.table({k: table.column(k).slice(0, 1) for k in keys} | {corner_name: pa.array([corner], pa.binary()), least_name: pa.array([least], pa.int64())})
+        corner, n = counts.max(axis=0).tobytes(), table.column("n").to_numpy()
+        sizes = {least_name: pa.array([n.min()], pa.int64()), most_name: pa.array([n.max()], pa.int64())}
+        return pa.table({k: table.column(k).slice(0, 1) for k in keys} | {corner_name: pa.array([corner], pa.binary())} | sizes)
 
     return work
 
@@ -508,9 +529,10 @@ def _within_reach(num: int, den: int):
     def work(batches):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<i4").reshape(-1, GROUPS) for c in ("corner", "other_corner"))
-            sizes = batch.column("least").to_numpy() + batch.column("other_least").to_numpy()
-            good = np.minimum(a, b).sum(axis=1, dtype=np.int64) * (num + den) >= num * sizes
-            yield batch.filter(pa.array(good, pa.bool_())).select(["family", "chunk", "part", "block"])
+            least, most, other_least, other_most = (batch.column(c).to_numpy() for c in ("least", "most", "other_least", "other_most"))
+            good = np.minimum(a, b).sum(axis=1, dtype=np.int64) * (num + den) >= num * (least + other_least)
+            good &= (num * least <= den * other_most) & (num * other_least <= den * most)  # sets of too different sizes cannot link
+            yield batch.filter(pa.array(good, pa.bool_())).select(["family", "chunk", "part", "block", "least", "most", "other_least", "other_most"])
 
     return work
 
@@ -529,20 +551,32 @@ def _meet(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> DataFr
     return _few_at_a_time(dealt.mapInArrow(work, "a bigint, b bigint"), 128, name)
 
 
-def _mark(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(MARKS)) + 1
+def _mark(*columns: str):
+    return F.pmod(F.xxhash64(*columns), F.lit(MARKS)) + 1
 
 
-def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    """Which hashed marks the ids have: an array of fixed size."""
-    parts = ids.groupBy(F.bitmap_bucket_number(_mark(column)).alias("part"))
-    bits = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(_mark(column))).alias("bits"))
-    out = np.zeros((MARKS // 32768, 32768), dtype=bool)
+def _marks(rows: DataFrame, *columns: str) -> np.ndarray:
+    """Which hashed marks the rows have, as bits: an array of fixed size."""
+    parts = rows.groupBy(F.bitmap_bucket_number(_mark(*columns)).alias("part"))
+    bits = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(_mark(*columns))).alias("bits"))
+    out = np.zeros((MARKS // 32768, 4096), dtype=np.uint8)
     for row in bits.collect():  # a row for each 32768 marks
-        out[row["part"] - 1] = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8), bitorder="little")
+        out[row["part"] - 1] = np.frombuffer(row["bits"], dtype=np.uint8)
     return out.ravel()
 
 
+def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
+    return np.unpackbits(_marks(ids, column), bitorder="little").astype(bool)
+
+
+def _parted(rows: DataFrame, some: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that may be like one of ``some`` in ``columns``, and those that are surely not; the latter need no shuffle."""
+    place = _mark(*columns) - 1
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(_marks(some, *columns))), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (place % 8).cast("int")) == 1
+    return rows.where(bit), rows.where(~bit)
+
+
 def _tokens(text: str, size: int, wanted: np.ndarray):
     def work(batches):
         for batch in batches:
@@ -562,11 +596,15 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     """(id, stamp of the text, n, digest of the set) of each row, and (digest, root, component_id) of each set."""
     docs = docs.select(key, text)
 
-    schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, fine binary, keys array<bigint>"
+    schema = "id bigint, n bigint, stamp binary, digest binary, counts binary, fine binary, odd binary, keys array<bigint>"
     points = _few_at_a_time(docs.mapInArrow(_points(key, text, size, num, den), schema), TEXTS, "jaccard-points")
     signed = materialise(points.select("id", "n", "stamp", "digest"), "jaccard-signed")
     usable = points.where("n > 0 AND id IS NOT NULL")
-    reps = usable.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "counts", "fine", "keys")])
+    repeated = signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").count().where("count > 1")
+    columns = ["n", "counts", "fine", "odd", "keys"]
+    copies, alone = _parted(usable, repeated, "digest")  # sets are wide, and most are unlike all others
+    reps = copies.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in columns])
+    reps = reps.unionByName(alone.select("digest", "id", *columns))
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "jaccard-sets")  # ids may repeat, sets do not
     release(points)  # the keys are the bulk of it
 
@@ -578,7 +616,7 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     beside = F.lag("key").over(Window.orderBy("key", "part")) == F.col("key")
     ends = ends.select(beside.alias("same"), F.col("rep").alias("a"), F.lag("rep").over(Window.orderBy("key", "part")).alias("b"))
     large = large.unionByName(ends.where("same").select("a", "b"))
-    small = met.where("centre IS NULL AND part IS NULL").select("key", "rep").join(reps.select("rep", "n", "counts"), "rep")
+    small = met.where("centre IS NULL AND part IS NULL").select("key", "rep").join(reps.select("rep", "n", "odd"), "rep")
     small = small.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_cells(num, den), "a bigint, b bigint")
     edges = materialise(large.unionByName(small), "jaccard-cells")
     families = connected_components(edges, "a", "b")
@@ -586,7 +624,8 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
 
     # Their order, in which leaf blocks are cut, and their sets.
     by = ["family", "n", "counts", "rep"]
-    ranged = families.join(reps.select("rep", "id", "digest", "n", "counts", "fine"), "rep").repartitionByRange(*by).sortWithinPartitions(*by)
+    in_one = _parted(reps.select("rep", "id", "digest", "n", "counts", "fine"), families, "rep")[0]
+    ranged = families.join(in_one, "rep").repartitionByRange(*by).sortWithinPartitions(*by)
     position = F.monotonically_increasing_id()
     ranged = ranged.withColumn("part", F.shiftright(position, 33).cast("long"))
     ranged = ranged.withColumn("block", F.floor(position.bitwiseAND((1 << 33) - 1) / BLOCK).cast("long"))
@@ -633,16 +672,21 @@ def _components(docs: DataFrame, size: int, num: int, den: int, key: str, text:
     full = ranged.join(main.select("family"), "family").join(labelled.select("rep", "label"), "rep")
     asking = materialise(full.join(strays, "rep").drop("part", "block"), "jaccard-strays")
     of_chunks = asking.select("family", "chunk", "n", "counts").groupBy("family", "chunk")
-    of_chunks = of_chunks.applyInArrow(_corners(["family", "chunk"], "corner", "least"), "family bigint, chunk string, corner binary, least bigint")
+    of_chunks = of_chunks.applyInArrow(
+        _corners(["family", "chunk"], "corner", "least", "most"), "family bigint, chunk string, corner binary, least bigint, most bigint"
+    )
     of_blocks = full.select("family", "part", "block", "n", "counts").groupBy("family", "part", "block")
     of_blocks = of_blocks.applyInArrow(
-        _corners(["family", "part", "block"], "other_corner", "other_least"), "family bigint, part bigint, block bigint, other_corner binary, other_least bigint"
+        _corners(["family", "part", "block"], "other_corner", "other_least", "other_most"),
+        "family bigint, part bigint, block bigint, other_corner binary, other_least bigint, other_most bigint",
     )
-    near = of_chunks.join(of_blocks, "family").mapInArrow(_within_reach(num, den), "family bigint, chunk string, part bigint, block bigint")
+    sizes = "least bigint, most bigint, other_least bigint, other_most bigint"
+    near = of_chunks.join(of_blocks, "family").mapInArrow(_within_reach(num, den), f"family bigint, chunk string, part bigint, block bigint, {sizes}")
     near = materialise(near, "jaccard-near")
     columns = ["family", "chunk", "part", "block", "rep", "id", "digest", "n", "counts", "fine", "label", "side"]
-    asking = asking.join(near, ["family", "chunk"]).withColumn("side", F.lit(1))
-    answering = full.join(near, ["family", "part", "block"]).withColumn("side", F.lit(0))
+    fits = lambda least, most: (F.col("n") * den >= F.col(least) * num) & (F.col("n") * num <= F.col(most) * den)
+    asking = asking.join(near, ["family", "chunk"]).where(fits("other_least", "other_most")).withColumn("side", F.lit(1))
+    answering = full.join(near, ["family", "part", "block"]).where(fits("least", "most")).withColumn("side", F.lit(0))
     second = asking.select(*columns).unionByName(answering.select(*columns))
     second = second.withColumn("meeting", F.concat_ws("/", "family", "chunk", "part", "block"))
     second = _bounded(second, num, den, True, "jaccard-second-bounded")
@@ -673,7 +717,12 @@ def first_of_components(docs: DataFrame, size: int = 3, num: int = 90, den: int
     signed, by_set = _components(docs, size, num, den, key, text)
     first = signed.join(by_set, "digest").groupBy("root").agg(F.min(F.struct("id", "stamp")).alias("first"))
     first = first.select("first.*").unionByName(signed.where("digest IS NULL AND id IS NOT NULL").select("id", "stamp"))
+    of_it = ["id of it", "stamp of it"]
+    first = materialise(first.distinct().toDF(*of_it), "jaccard-first-of")
+    seen = signed.where("id IS NOT NULL").groupBy(F.col("id").alias(of_it[0]), F.col("stamp").alias(of_it[1])).agg(F.count("*").alias("m"))
+    doubtful = seen.join(first.withColumn("stays", F.lit(True)), of_it, "left").where("m > 1 OR stays IS NULL")
     stamp = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-    found = docs.withColumns({"id of it": F.col(key).cast("long"), "stamp of it": stamp})
-    kept = found.join(first.toDF("id of it", "stamp of it"), ["id of it", "stamp of it"], "left_semi")
-    return kept.dropDuplicates([key, text]).select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    found = docs.where(F.col(key).isNotNull()).withColumns({of_it[0]: F.col(key).cast("long"), of_it[1]: stamp})
+    asked, sure = _parted(found, doubtful, *of_it)  # texts are wide; a row that goes, or of which there are more, is asked for
+    kept = asked.join(first, of_it, "left_semi").dropDuplicates([*of_it, key, text])
+    return kept.unionByName(sure).select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))

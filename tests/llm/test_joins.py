@@ -249,6 +249,29 @@ def test_the_bound_is_never_below_the_intersection():
     assert all(bound[a, b] >= len(np.intersect1d(sets[a], sets[b])) for a in range(len(sets)) for b in range(a))
 
 
+def test_parities_never_differ_more_than_sets_and_tell_long_strangers_apart():
+    rng = np.random.default_rng(6)
+    for n in (3, 40, 400, 1800):
+        base, other = rng.integers(1 << 62, size=(2, n), dtype=np.uint64)
+        sets = [base, np.append(base[n // 10 :], other[: n // 12]), other]
+        differ = lambda a, b: int(np.bitwise_count(jaccard_join._odd(a) ^ jaccard_join._odd(b)).sum())
+        assert all(differ(a, b) <= len(np.setxor1d(a, b)) for a in sets for b in sets)
+        may = lambda a, b: jaccard_join._few_apart(differ(a, b), len(a) + len(b), 80, 100)
+        assert may(base, sets[1]) and not may(base, other)
+
+
+def test_only_rows_in_doubt_are_shuffled(spark):
+    """Of the texts that stay only those with a copy pass the last join; strangers are in no meeting."""
+    words = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(300)]
+    rows = [(i, t) for i, t in enumerate(words)] + [(1000 + i, words[i] + " more") for i in range(10)] + [(5, words[5]), (7, None), (None, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    some = docs.where("doc_id >= 1000").selectExpr("doc_id - 1000 AS doc_id")
+    asked, sure = jaccard_join._parted(docs.where("doc_id IS NOT NULL"), some, "doc_id")
+    assert {r[0] for r in asked.collect()} >= set(range(10)) and asked.count() < 30 and asked.count() + sure.count() == len(rows) - 1
+    kept = [tuple(r) for r in jaccard_join.first_of_components(docs, 3, 80, 100).collect()]
+    assert sorted(kept, key=str) == sorted([*enumerate(words), (7, None), (None, "a b")], key=str)
+
+
 def test_finer_counts_keep_every_link_and_drop_long_strangers():
     rng = np.random.default_rng(3)
     sets = []
