@@ -555,26 +555,30 @@ def _mark(*columns: str):
     return F.pmod(F.xxhash64(*columns), F.lit(MARKS)) + 1
 
 
-def _marks(rows: DataFrame, *columns: str) -> np.ndarray:
-    """Which hashed marks the rows have, as bits: an array of fixed size."""
-    parts = rows.groupBy(F.bitmap_bucket_number(_mark(*columns)).alias("part"))
-    bits = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(_mark(*columns))).alias("bits"))
-    out = np.zeros((MARKS // 32768, 4096), dtype=np.uint8)
-    for row in bits.collect():  # a row for each 32768 marks
-        out[row["part"] - 1] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return out.ravel()
+def _marks(rows: DataFrame, *columns: str) -> DataFrame:
+    """Which hashed marks the rows have, as bits: a row for each 32768 marks, so a table of bounded size."""
+    parts = rows.groupBy(F.bitmap_bucket_number(_mark(*columns)).alias("mark part"))
+    return parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(_mark(*columns))).alias("mark bits"))
 
 
 def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    return np.unpackbits(_marks(ids, column), bitorder="little").astype(bool)
+    out = np.zeros((MARKS // 32768, 4096), dtype=np.uint8)
+    for row in _marks(ids, column).collect():
+        out[row["mark part"] - 1] = np.frombuffer(row["mark bits"], dtype=np.uint8)
+    return np.unpackbits(out.ravel(), bitorder="little").astype(bool)
 
 
 def _parted(rows: DataFrame, some: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
-    """The rows that may be like one of ``some`` in ``columns``, and those that are surely not; the latter need no shuffle."""
-    place = _mark(*columns) - 1
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(_marks(some, *columns))), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.getbit(byte, (place % 8).cast("int")) == 1
-    return rows.where(bit), rows.where(~bit)
+    """The rows that may be like one of ``some`` in ``columns``, and those that are surely not; the latter need no shuffle.
+
+    The marks come by a join: as a literal they would be spelled out wherever the driver keeps a plan's text.
+    """
+    marks = materialise(_marks(some, *columns), "jaccard-marks")
+    marked = rows.join(F.broadcast(marks), F.bitmap_bucket_number(_mark(*columns)) == F.col("mark part"), "left")
+    place = F.bitmap_bit_position(_mark(*columns))
+    byte = F.conv(F.hex(F.substring("mark bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return tuple(marked.where(side).drop("mark part", "mark bits") for side in (bit, ~bit))
 
 
 def _tokens(text: str, size: int, wanted: np.ndarray):

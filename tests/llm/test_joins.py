@@ -272,6 +272,31 @@ def test_only_rows_in_doubt_are_shuffled(spark):
     assert sorted(kept, key=str) == sorted([*enumerate(words), (7, None), (None, "a b")], key=str)
 
 
+def test_plans_hold_no_marks(spark):
+    """The driver keeps the text of every plan, so a plan may not spell out half a megabyte of marks."""
+    docs = spark.createDataFrame([(i, f"a b c d{i % 3} e f") for i in range(9)] + [(None, "a b c"), (9, None)], "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    docs.count()
+    before = store.executionsList().last().executionId()
+    assert jaccard_join.first_of_components(docs, 3, 80, 100).count() == 5
+    kept = store.executionsList()
+    plans = [e.physicalPlanDescription() for e in map(kept.apply, range(kept.size())) if e.executionId() > before]
+    assert len(plans) > 20 and max(map(len, plans)) < 200_000
+
+
+def test_marks_tell_every_row_apart(spark):
+    """Each row is in one of the two parts, also with null keys, equal keys, or no marks at all."""
+    rows = [(i % 70, b"x" if i % 3 else None, i) for i in range(200)] + [(None, None, 200), (None, b"y", 201)]
+    docs = spark.createDataFrame(rows, "id long, digest binary, at int")
+    some = docs.where("id < 5 OR id IS NULL")
+    asked, sure = jaccard_join._parted(docs, some, "id", "digest")
+    assert asked.columns == sure.columns == docs.columns
+    inside, outside = ({r["at"] for r in part.collect()} for part in (asked, sure))
+    assert inside >= {r["at"] for r in some.collect()} and not inside & outside and len(inside | outside) == asked.count() + sure.count() == len(rows)
+    none, every = jaccard_join._parted(docs, docs.where("false"), "id", "digest")
+    assert none.isEmpty() and every.count() == len(rows)
+
+
 def test_finer_counts_keep_every_link_and_drop_long_strangers():
     rng = np.random.default_rng(3)
     sets = []
