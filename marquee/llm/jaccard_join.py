@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.components import connected_components
-from marquee.llm.texts import steps
+from marquee.llm.texts import forget_model, steps
 from marquee.session import materialise, release
 
 GROUPS = 32  # dimensions of the points
@@ -186,6 +186,7 @@ class Contents:
 
 def _points(key: str, text: str, size: int, num: int, den: int):
     def work(batches):
+        forget_model()
         contents = Contents(num, den)
         for batch in batches:
             for first, texts in steps(batch, text):

@@ -45,14 +45,20 @@ def steps(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str]]]
         yield first, held
 
 
+def forget_model() -> None:
+    """Lets go of the model of an earlier stage, for one that has none."""
+    if _MODEL:
+        _MODEL.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def only_model(make: Callable, *args):
     """``make(*args)``, kept until another one is asked for.
 
     Python workers go on from stage to stage; each keeps the model of its present stage alone.
     """
     if (make, *args) not in _MODEL:
-        _MODEL.clear()
-        pa.default_memory_pool().release_unused()
+        forget_model()
         made = make(*args)
         _MODEL.clear()  # of a model that another one was made of, too
         _MODEL[(make, *args)] = made

@@ -3,10 +3,11 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import cap_dedup, cover_topk, jaccard_join, url_rules
+from marquee.llm import cap_dedup, cover_topk, jaccard_join, texts, url_rules
 from marquee.llm.components import connected_components
 
 VECTORS = "vec_id long, embedding array<float>, label int, score string"
@@ -297,6 +298,12 @@ def test_marks_tell_every_row_apart(spark):
     assert none.isEmpty() and every.count() == len(rows)
 
 
+def test_a_worker_forgets_the_model_of_an_earlier_stage():
+    texts.only_model(list, "abc")
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["a b c d", None]})
+    assert [out.num_rows for out in jaccard_join._points("id", "text", 3, 80, 100)([batch])] == [2] and not texts._MODEL
+
+
 def test_finer_counts_keep_every_link_and_drop_long_strangers():
     rng = np.random.default_rng(3)
     sets = []
