@@ -293,6 +293,7 @@ def _runs(batches):
     part, which may go on in the next part, each is given with the run's first as ``centre``; of
     the first and last also the part.
     """
+    forget_model()
     part, held, done = TaskContext.get().partitionId(), None, False
 
     def given(keys, reps, border: bool):
@@ -365,6 +366,7 @@ def _cells(num: int, den: int):
         return _edge_batch(reps[np.concatenate([none, *left])], reps[np.concatenate([none, *right])])
 
     def work(batches):
+        forget_model()
         held = None
         for batch in batches:
             now = [
@@ -485,6 +487,7 @@ def _bounded(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> Dat
     at = columns_of.index
 
     def work(batches):
+        forget_model()
         for group in _groups_of(batches, columns_of):
             if len(group) > 1:
                 columns = list(zip(*group))
@@ -528,6 +531,7 @@ def _within_reach(num: int, den: int):
     """Pairs of chunk and block in which two points may link."""
 
     def work(batches):
+        forget_model()
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<i4").reshape(-1, GROUPS) for c in ("corner", "other_corner"))
             least, most, other_least, other_most = (batch.column(c).to_numpy() for c in ("least", "most", "other_least", "other_most"))
@@ -543,6 +547,7 @@ _MEETING = ["meeting", "family", "rep", "n", "counts", "label", "side", "tokens"
 
 def _meet(rows: DataFrame, num: int, den: int, cross: bool, name: str) -> DataFrame:
     def work(batches):
+        forget_model()
         for group in _groups_of(batches, _MEETING):
             if len(group) > 1:
                 left, right = _family_links(group, num, den, cross)
@@ -584,6 +589,7 @@ def _parted(rows: DataFrame, some: DataFrame, *columns: str) -> tuple[DataFrame,
 
 def _tokens(text: str, size: int, wanted: np.ndarray):
     def work(batches):
+        forget_model()
         for batch in batches:
             batch = batch.filter(pa.array(wanted[batch.column("mark").to_numpy() - 1], pa.bool_()))
             for first, texts in steps(batch, text):
