@@ -1,12 +1,16 @@
 import math
+import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.functions import counting
+from marquee import session
+from marquee.functions import counting, packing
 from marquee.functions.analysis import ENGLISH, PLAIN
+from marquee.functions.hashing import xxhash64
 from marquee.operators import facets as fa
 from marquee.operators import postings as po
 from marquee.operators import search as se
@@ -282,3 +286,67 @@ def test_an_index_refuses_blank_ids(spark, tmp_path):
 def test_all_date_bounds_hold(spark):
     request = se.SearchRequest("x", ("summary",), start_year=2000, start="1990-01-01 00:00:00", end_year=2005, end="2002-01-01 00:00:00")
     assert [r.id for r in se.search(index_docs(spark), request).collect()] == ["d2"]
+
+
+def test_word_hashes_are_sparks(spark):
+    draw = random.Random(3)
+    words = ["", *["".join(draw.choice("abcé漢😀") for _ in range(n)) for n in range(70) for _ in range(3)]]
+    rows = spark.createDataFrame([(w,) for w in words], "w string")
+    rows = rows.select("w", F.xxhash64("w").alias("one"), F.xxhash64(F.lit("content"), "w").alias("two")).collect()
+    found = pa.array(["x", *[r.w for r in rows]])[1:]
+    assert xxhash64(found).tolist() == [r.one for r in rows]
+    assert xxhash64(found, "content").tolist() == [r.two for r in rows]
+    assert len(xxhash64(pa.array([], pa.string()))) == 0
+
+
+def test_packed_numbers_come_back():
+    arrays = [[], [0], [255, 256, 1], [1 << 16, 3], [1 << 40], [7] * 1000]
+    data = packing.packed([np.array(a, dtype=np.int64) for a in arrays])
+    assert [a.tolist() for a in packing.unpacked(data, len(arrays))] == arrays and len(data) < 150
+
+
+@pytest.mark.parametrize("analyzer", [PLAIN, ENGLISH], ids=["plain", "english"])
+@pytest.mark.parametrize("buckets, files", [(1, 1), (5, 4), (40, 7)])
+def test_packed_postings_come_back(spark, analyzer, buckets, files):
+    text = lambda i: " ".join(f"é{(i * j) % 13}" for j in range(i % 9)) if i % 7 else None
+    rows = [(f"d{i % 50}", text(i), "the runs the" if i % 5 else "", "T U" if i % 3 else None) for i in range(160)]
+    docs = spark.createDataFrame(rows, "id string, content string, summary string, movie_title string").repartition(3)
+    blocks = po.packed_postings(docs, analyzer, buckets, files).persist()
+    back, built = po.unpacked_postings(blocks), po.build_postings(docs, analyzer=analyzer)
+    shown = lambda df: sorted(map(repr, df.drop("lead").collect()))
+    assert back.schema == built.schema and shown(back) == shown(built)
+    assert sorted(po.field_stats(back).collect()) == sorted(po.field_stats(built).collect())
+    own = po.bucket_of(buckets, F.col("field"), F.col("term")) * files + F.pmod(F.xxhash64("id"), F.lit(files))
+    dealt = {r.deal for r in blocks.collect()}
+    assert {r.own for r in built.select(own.alias("own")).distinct().collect()} == dealt
+
+
+def shuffle_files(spark):
+    held = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return set(re.findall(r"shuffle_[\w.]+", held))
+
+
+def test_building_an_index_leaves_no_shuffle_and_reads_documents_once(spark, tmp_path):
+    seen, before, setting = spark.sparkContext.accumulator(0), shuffle_files(spark), spark.conf.get(session.DROP_SHUFFLES, None)
+
+    def read(text):
+        seen.add(1)
+        return text
+
+    docs = spark.range(300).select(
+        F.format_string("d%05d", "id").alias("id"), F.lit("s").alias("summary"), F.lit("t").alias("movie_title"),
+        F.udf(read, "string")(F.concat_ws(" ", F.lit("war"), "id")).alias("content"),
+    )
+    po.write_index(docs, str(tmp_path / "i"), buckets=3)
+    assert seen.value == 300
+    assert shuffle_files(spark) - before == set()
+    assert spark.conf.get(session.DROP_SHUFFLES, None) == setting
+    assert ids(se.matching_index(po.load_index(spark, str(tmp_path / "i")), se.SearchRequest("17", ("content",)))) == ["d00017"]
+
+
+def test_appending_adds_the_new_postings_alone(spark, tmp_path):
+    docs = index_docs(spark)
+    po.write_index(docs.filter("id < 'd3'"), str(tmp_path / "i"), buckets=3)
+    po.write_index(docs.filter("id >= 'd3'"), str(tmp_path / "i"), mode="append", buckets=3)
+    rows = lambda df: sorted(map(repr, df.select("field", "term", "id", "tf", "positions", "field_len").collect()))
+    assert rows(spark.read.parquet(str(tmp_path / "i" / "postings"))) == rows(po.build_postings(docs))
