@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import re
 
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import queries as cq
 from marquee import session
 from marquee.functions import counting, packing
 from marquee.functions.analysis import ENGLISH, PLAIN
@@ -350,3 +352,21 @@ def test_appending_adds_the_new_postings_alone(spark, tmp_path):
     po.write_index(docs.filter("id >= 'd3'"), str(tmp_path / "i"), mode="append", buckets=3)
     rows = lambda df: sorted(map(repr, df.select("field", "term", "id", "tf", "positions", "field_len").collect()))
     assert rows(spark.read.parquet(str(tmp_path / "i" / "postings"))) == rows(po.build_postings(docs))
+
+
+def test_index_queries_leave_no_index(spark, tmp_path):
+    d = str(tmp_path)
+    spark.range(60).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("worthless of the"), F.col("id") % 7, F.lit("\nplate")).alias("text")
+    ).write.parquet(f"{d}/documents.parquet")
+    spark.range(80).selectExpr(
+        "id o_orderkey", "id % 9 o_custkey", "id * 1.5D o_totalprice", "timestamp'1996-02-03 00:00:00' o_orderdate"
+    ).write.parquet(f"{d}/orders.parquet")
+    spark.range(50).selectExpr("id p_partkey", "concat('red plate ', id % 4) p_name").write.parquet(f"{d}/part.parquet")
+    folder = f"{session.shared_dir(spark).removeprefix('file:')}/marquee/{spark.sparkContext.applicationId}"
+    held = lambda: {f for f in os.listdir(folder) if f.startswith("index-")} if os.path.isdir(folder) else set()
+    before = held()
+    for stored, scanned in ((cq.index_bm25, cq.search_bm25), (cq.index_facets, cq.facet_multi), (cq.index_windows, cq.date_windows)):
+        rows = sorted(map(tuple, stored(spark, d).collect()))
+        assert rows and rows == sorted(map(tuple, scanned(spark, d).collect()))
+        assert held() == before
